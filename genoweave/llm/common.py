@@ -43,3 +43,22 @@ def buckets_for(spark: SparkSession, total: int, per_bucket: int) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def join_groups(big: DataFrame, small: DataFrame, keys: list[str], spread: list[str], most: int = 5_000, salts: int = 64) -> DataFrame:
+    """big with the columns of small, a row for each group, joined on keys (nulls match).
+
+    small is counted first: up to `most` rows it is broadcast; beyond that a hot key of big is spread over salts by the
+    columns `spread`, and small is copied to each salt.
+    """
+    renamed = small.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), *(c for c in small.columns if c not in keys))
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    if renamed.limit(most + 1).count() <= most:
+        renamed = F.broadcast(renamed)
+    else:
+        big = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+        renamed = renamed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+        on = on & (F.col("_salt") == F.col("_copy"))
+    return big.join(renamed, on, "left").drop("_salt", "_copy", *(f"_k{i}" for i in range(len(keys))))

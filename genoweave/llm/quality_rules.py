@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import BLANKS, cut, let, words
+from genoweave.llm.common import BLANKS, cut, join_groups, let, words
 
 #: Ratio -> slack added to its fence.
 SLACK = {"symbol_ratio": 0.1, "dup_line_ratio": 0.35, "repeat_ratio": 0.3, "mean_word": 0.5}
@@ -118,14 +118,8 @@ def quality_rules(docs: DataFrame, params: QualityParams = QualityParams(), **co
     """
     stats = cut(text_stats(docs, **columns))  # small rows; texts are scanned once
     limits = cut(fences(stats, params))
-    if limits.count() <= params.max_broadcast_groups:
-        right, keys = F.broadcast(limits.select(F.col("lang").alias("l"), F.col("source").alias("s"), "limits")), F.lit(True)
-    else:  # a hot group is spread over the salts, each of which has a copy of its limits
-        stats = stats.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(params.salts)))
-        right = limits.select(F.col("lang").alias("l"), F.col("source").alias("s"), "limits", F.explode(F.sequence(F.lit(0), F.lit(params.salts - 1))).cast("long").alias("salt2"))
-        keys = F.col("salt") == F.col("salt2")
-    joined = stats.join(right, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")) & keys, "left")
-    within = (F.col("mean_word") >= F.col("limits.mean_word_low"))
+    joined = join_groups(stats, limits, ["lang", "source"], ["doc_id"], params.max_broadcast_groups, params.salts)
+    within = F.col("mean_word") >= F.col("limits.mean_word_low")
     for m in SLACK:
         within = within & (F.col(m) <= F.col(f"limits.{m}_high"))
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(True))).drop("l", "s", "salt", "salt2")
+    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(True)))

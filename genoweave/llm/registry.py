@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoweave.llm.common import table
+from genoweave.llm.mixing import mix_sources
 from genoweave.llm.quality_rules import SLACK, quality_rules
 
 
@@ -15,8 +16,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_rules,)}
+    return {f.__name__: f for f in (op3_quality_rules, op8_mix_sources)}
 
 
 _LIMIT = ", ".join(
