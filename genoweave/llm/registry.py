@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoweave.llm.common import table
+from genoweave.llm.merkle import with_next_edit
 from genoweave.llm.mixing import mix_sources
+from genoweave.llm.packing import pack
 from genoweave.llm.quality_rules import SLACK, quality_rules
 
 
@@ -20,8 +22,16 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_next_edit(table(spark, sf_dir, "documents"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_rules, op8_mix_sources)}
+    return {f.__name__: f for f in (op3_quality_rules, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing)}
 
 
 _LIMIT = ", ".join(
