@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from genoweave.lineage import cut  # noqa: F401  shared by the operators
+
 #: ASCII white space; what lies between is a word.
 SPACE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -25,17 +26,6 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df computed now and written to the checkpoint folder that the cluster names (spark.checkpoint.dir).
-
-    Only where that setting is absent, as in tests, a folder is made.
-    """
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="genoweave-checkpoint-"))
-    return df.checkpoint(eager=True)
-
-
 def buckets_for(spark: SparkSession, total: int, per_bucket: int) -> int:
     """How many hash buckets hold about per_bucket units each; grows with the data."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / per_bucket), 1)
