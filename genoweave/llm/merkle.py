@@ -85,8 +85,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _block(docs: DataFrame, per_block: int, most: int) -> Column:
     """The number of the id range of a row. Ranges hold about as many rows each: their ends come from a quantile sketch
     of the ids, and are at most `most` numbers."""
-    stats = docs.agg(F.count(F.lit(1)).alias("n")).first()
-    levels = min(max(stats["n"] // per_block, 1).bit_length(), most.bit_length() - 1)
+    levels = min(max(docs.count() // per_block, 1).bit_length(), most.bit_length() - 1)
     ends = docs.agg(F.percentile_approx("doc_id", [i / 2**levels for i in range(1, 2**levels)], 100_000).alias("e")).first()["e"]
     if not ends:
         return F.lit(0)
@@ -99,31 +98,32 @@ def with_next_edit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Fingerprints of every text and of its edited form, in which the last third of the code points gives way to the
     first as many of the next document's, by descending id (after the last: the first).
 
-    Rows: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_paragraphs,
-    edited_paragraphs. Texts are shuffled once, to id ranges in whose windows the neighbour is the row before; the
-    few rows at the ends of ranges get theirs by a join.
-    Defined edge cases: null texts are empty; a single row is its own neighbour; equal ids are ordered by their text;
-    null ids come last; an empty table gives no rows; only the two columns are read.
+    Rows: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, edited_paragraphs.
+    Texts are shuffled once, to id ranges in whose windows the neighbour is the row before; the last row of each range is
+    also sent to the next range. The ends of ranges are at most most_blocks ids.
+    Defined edge cases: null texts are empty; a single row is its own neighbour; equal ids are ordered by their text; rows
+    without an id have each other as neighbours, by text, the first of them itself; an empty table gives no rows; only the
+    two columns are read.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ranged = own.withColumn("block", _block(own, per_block, most_blocks)).select("block", "doc_id", "text", tree(F.col("text")).alias("tree"))
-    order = Window.partitionBy("block").orderBy(F.col("doc_id").asc_nulls_first(), "text")
-    lined = ranged.select("*", F.lag(F.struct("text", "tree")).over(order).alias("next"), F.lead(F.lit(1)).over(order).alias("after"))
-    blocks = ranged.select("block").distinct()
-    every, by_block = Window.partitionBy(), Window.orderBy("block")  # at most most_blocks + 1 numbers
-    lower = blocks.select(F.col("block").alias("upper"), F.coalesce(F.lag("block").over(by_block), F.max("block").over(every)).alias("lower"))
-    ends = lined.filter("after IS NULL").select(F.col("block").alias("lower"), F.struct("text", "tree").alias("end"))
-    firsts = lined.filter("next IS NULL").drop("next").join(lower, F.col("block") == F.col("upper")).join(ends, "lower")
-    columns = ["doc_id", "text", "tree"]
-    both = lined.filter("next IS NOT NULL").select(*columns, "next").unionByName(firsts.select(*columns, F.col("end").alias("next")))
+    block = _block(own, per_block, most_blocks)
+    tops = sorted((r["block"], r["top"]) for r in own.filter("doc_id IS NOT NULL").groupBy(block.alias("block")).agg(F.max("doc_id").alias("top")).collect())
+    guests = own.sparkSession.createDataFrame([(top, tops[(i + 1) % len(tops)][0]) for i, (_, top) in enumerate(tops)], "top long, upper int")
+    sent = own.withColumn("block", block).join(F.broadcast(guests), F.col("doc_id") == F.col("top"), "left")
+    stays = F.struct(F.col("block").alias("block"), F.lit(1).alias("own"))
+    goes = F.struct(F.col("upper").alias("block"), F.lit(0).alias("own"))
+    sent = sent.select("doc_id", "text", F.explode(F.when(F.col("upper").isNull(), F.array(stays)).otherwise(F.array(stays, goes))).alias("to")).select("doc_id", "text", "to.*")
+    order = Window.partitionBy("block").orderBy("own", "doc_id", "text")
+    both = sent.withColumn("next", F.coalesce(F.lag("text").over(order), F.col("text"))).filter("own = 1")
     n = F.length("text")
     k = F.floor(n / 3).cast("int")
-    edited = both.select("doc_id", "text", "tree", F.col("next.tree").alias("next_tree"), n.cast("long").alias("n_chars"), F.concat(F.substr("text", F.lit(1), n - k), F.substr("next.text", F.lit(1), k)).alias("edited"))
+    edited = both.select("doc_id", "text", "next", n.cast("long").alias("n_chars"), F.concat(F.substr("text", F.lit(1), n - k), F.substr("next", F.lit(1), k)).alias("edited"))
+    trees = F.struct(tree(F.col("text")).alias("own"), tree(F.col("edited")).alias("edited"), tree(F.col("next")).alias("next"))
+    compared = lambda t: F.struct(
+        fingerprint(t["own"]).alias("fingerprint"), fingerprint(t["edited"]).alias("edited_fingerprint"),
+        likeness(t["own"], t["edited"]).alias("near_edited"), likeness(t["own"], t["next"]).alias("near_next"),
+    )
     return edited.select(
-        "doc_id", "n_chars", "tree", "next_tree", F.sha2("edited", 256).alias("edited_sha256"),
-        let(tree(F.col("edited")), lambda e: F.struct(fingerprint(e).alias("f"), likeness(F.col("tree"), e).alias("near"))).alias("e"),
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), let(trees, compared).alias("t"),
         let(edits(F.col("text"), F.col("edited")), lambda x: F.size(x).cast("long")).alias("edited_paragraphs"),
-    ).select(
-        "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("tree")).alias("fingerprint"), F.col("e.f").alias("edited_fingerprint"),
-        F.col("e.near").alias("near_edited"), likeness(F.col("tree"), F.col("next_tree")).alias("near_next"), "edited_paragraphs",
-    )
+    ).select("doc_id", "n_chars", "edited_sha256", "t.*", "edited_paragraphs")
