@@ -11,6 +11,7 @@ the plan's places by their rank among the pieces of their length.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,7 +31,7 @@ class PackParams:
     capacity: int = 4_096
     end_id: int = 1
     tokenizer: str = ""  # path of the vocabulary file; empty: the public word_bpe_49k.json
-    cache_words: int = 400_000  # words whose ids a worker keeps
+    cache_words: int = 700_000  # words of each of the two generations whose ids a worker keeps
     branches: int = 4  # fillings tried at a node
     nodes: int = 20_000  # of the search
     per_bucket: int = 20_000  # pieces
@@ -45,27 +46,55 @@ class PackParams:
 
 class WordIds:
     """The ids of white-space divided words, as little-endian bytes. The vocabulary drops white space, and no rule of it
-    looks across it, so a text's ids are those of its words in turn."""
+    looks across it, so a text's ids are those of its words in turn; it lower-cases, so A-Z may be lowered first; and a
+    letter ends a run, so a full stop or comma behind one adds its own id.
+
+    Words are kept in two generations of `most` each: when the young one is full it becomes the old one, and words that
+    are met again move back.
+    """
 
     def __init__(self, path: str, most: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self.tokenizer, self.most, self.known, self.old = Tokenizer.from_file(path), most, {}, {}
+        self.marks = {m: self.encoded([m])[0] for m in (".", ",")}
+
+    def encoded(self, words: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def learn(self, missing: set[bytes]) -> None:
+        if len(self.known) + len(missing) > self.most:
+            self.known, self.old = {}, self.known
+        known, old, fresh, ending = self.known, self.old, {}, []
+        for w in missing:
+            if (ids := old.get(w)) is not None:
+                known[w] = ids
+                continue
+            s = w.decode("utf-8", "replace")
+            if s[-1] in self.marks and s[-2:-1].isalpha():
+                ending.append((w, w[:-1], s[-1]))
+                w, s = w[:-1], s[:-1]
+                if w in known or w in missing:
+                    continue
+                if (ids := old.get(w)) is not None:
+                    known[w] = ids
+                    continue
+            fresh[w] = s
+        listed = list(fresh)
+        for at in range(0, len(listed), 10_000):
+            part = listed[at : at + 10_000]
+            known.update(zip(part, self.encoded([fresh[w] for w in part]), strict=True))
+        for w, stem, mark in ending:
+            known[w] = known[stem] + self.marks[mark]
 
     def of(self, text: str) -> bytes:
-        words = text.encode("utf-8", "surrogatepass").split()
-        known = self.known
-        missing = {w for w in words if w not in known}
+        words = text.encode("utf-8", "surrogatepass").lower().split()
+        missing = set(words).difference(self.known)
         if missing:
-            if len(known) + len(missing) > self.most:
-                known.clear()
-                missing = set(words)
-            listed = list(missing)
-            for at in range(0, len(listed), 10_000):
-                part = listed[at : at + 10_000]
-                for w, e in zip(part, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+            self.learn(missing)
+            for w in set(words).difference(self.known):  # words that only the generation before had
+                self.known[w] = self.old[w]
+        return b"".join(map(self.known.__getitem__, words))
 
 
 _ENCODERS: dict[str, WordIds] = {}
