@@ -69,7 +69,8 @@ def slots(targets: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     planned = planned.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long")).withColumn("total", F.sum("n").over(Window.partitionBy()))
     chunk = 4_096  # a hot source's slots are made by many tasks
     chunks = planned.filter("n > 0").withColumn("c", F.explode(F.expr(f"sequence(0L, (n - 1) div {chunk})")))
-    chunks = chunks.repartition(F.xxhash64("sid", "c"))
+    # a stated number of partitions: a few rows here become many below, and are not to meet in one task
+    chunks = chunks.repartition(max(8, int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))), F.xxhash64("sid", "c"))
     each = chunks.withColumn("j", F.explode(F.expr(f"sequence(c * {chunk}, least(n, (c + 1) * {chunk}) - 1)")))
     seed = F.lit(params.seed)
     return each.select(
@@ -106,7 +107,8 @@ def used_segments(places: DataFrame, slot_rows: DataFrame, params: MixParams) ->
     """sid, bucket, rn, pass, lo, hi: word ranges (within the document) that a pass of the mix takes."""
     b = params.block
     segments = places.filter("size > 0").select("sid", "bucket", "rn", "start", "size", F.explode(F.expr(f"sequence(start div {b}, (start + size - 1) div {b})")).alias("block"))
-    joined = segments.join(slot_rows.select("sid", "block", "pass", "take"), ["sid", "block"])
+    # both sides grow with the corpus: neither is broadcast
+    joined = segments.join(slot_rows.select("sid", "block", "pass", "take").hint("merge"), ["sid", "block"])
     lo = F.greatest(F.col("start"), F.col("block") * b)
     hi = F.least(F.col("start") + F.col("size"), F.col("block") * b + F.col("take"))
     return joined.select("sid", "bucket", "rn", "pass", (lo - F.col("start")).alias("lo"), (hi - F.col("start")).alias("hi")).filter("hi > lo")
