@@ -44,7 +44,7 @@ class PackParams:
         return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordIds:
+class WordIds(dict):
     """The ids of white-space divided words, as little-endian bytes. The vocabulary drops white space, and no rule of it
     looks across it, so a text's ids are those of its words in turn; it lower-cases, so A-Z may be lowered first; and a
     letter ends a run, so a full stop or comma behind one adds its own id.
@@ -56,45 +56,26 @@ class WordIds:
     def __init__(self, path: str, most: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known, self.old = Tokenizer.from_file(path), most, {}, {}
-        self.marks = {m: self.encoded([m])[0] for m in (".", ",")}
-
-    def encoded(self, words: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def learn(self, missing: set[bytes]) -> None:
-        if len(self.known) + len(missing) > self.most:
-            self.known, self.old = {}, self.known
-        known, old, fresh, ending = self.known, self.old, {}, []
-        for w in missing:
-            if (ids := old.get(w)) is not None:
-                known[w] = ids
-                continue
-            s = w.decode("utf-8", "replace")
-            if s[-1] in self.marks and s[-2:-1].isalpha():
-                ending.append((w, w[:-1], s[-1]))
-                w, s = w[:-1], s[:-1]
-                if w in known or w in missing:
-                    continue
-                if (ids := old.get(w)) is not None:
-                    known[w] = ids
-                    continue
-            fresh[w] = s
-        listed = list(fresh)
-        for at in range(0, len(listed), 10_000):
-            part = listed[at : at + 10_000]
-            known.update(zip(part, self.encoded([fresh[w] for w in part]), strict=True))
-        for w, stem, mark in ending:
-            known[w] = known[stem] + self.marks[mark]
+        super().__init__()
+        self.encode, self.most, self.old = Tokenizer.from_file(path).encode, most, {}
+        self.marks = {ord(m): self.encoded(m) for m in ".,"}
+
+    def encoded(self, word: str) -> bytes:
+        return array("I", self.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            s = word.decode("utf-8", "replace")
+            ids = self[word[:-1]] + self.marks[word[-1]] if word[-1] in self.marks and s[-2:-1].isalpha() else self.encoded(s)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
 
     def of(self, text: str) -> bytes:
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        missing = set(words).difference(self.known)
-        if missing:
-            self.learn(missing)
-            for w in set(words).difference(self.known):  # words that only the generation before had
-                self.known[w] = self.old[w]
-        return b"".join(map(self.known.__getitem__, words))
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "surrogatepass").lower().split()))
 
 
 _ENCODERS: dict[str, WordIds] = {}
