@@ -7,17 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from genoweave.llm import toxicity
 from genoweave.llm.common import table
 from genoweave.llm.merkle import with_next_edit
 from genoweave.llm.mixing import mix_sources
 from genoweave.llm.packing import pack
 from genoweave.llm.quality_rules import SLACK, quality_rules
+from genoweave.llm.simhash import simhash_components
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False)).alias("held_out")
+    model = toxicity.fit(*toxicity.sample(docs, labels.filter(~held_out)))
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -31,7 +44,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_rules, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op3_quality_rules, op5_simhash, op6_toxicity, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing)}
 
 
 _LIMIT = ", ".join(
