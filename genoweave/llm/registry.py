@@ -14,6 +14,11 @@ from genoweave.llm.mixing import mix_sources
 from genoweave.llm.packing import pack
 from genoweave.llm.quality_rules import SLACK, quality_rules
 from genoweave.llm.simhash import simhash_components
+from genoweave.llm.substring_dedup import repeats
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +49,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_rules, op5_simhash, op6_toxicity, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_quality_rules, op5_simhash, op6_toxicity, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing)}
 
 
 _LIMIT = ", ".join(
@@ -80,5 +85,18 @@ FROM stats s JOIN lim ON s.lang IS NOT DISTINCT FROM lim.lang AND s.source IS NO
 """
 
 
+OP2_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, s, md5(array_to_string(w[s : s + 19], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM w WHERE len(w) >= 20)),
+later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS n FROM win) WHERE n > 1),
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(s, s + 20)))) AS g FROM later GROUP BY doc_id),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w WHERE len(w) > 0),
+cut AS (SELECT doc_id, i FROM (SELECT doc_id, unnest(g) AS i FROM gone)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n FROM word ANTI JOIN cut USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": OP3_SQL}
+    return {"op2_substring_dedup": OP2_SQL, "op3_quality_rules": OP3_SQL}
