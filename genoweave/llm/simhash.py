@@ -32,7 +32,7 @@ class SimHashParams:
     block: int = 32_768  # fingerprints of a node pair that one task walks
     step: int = 4  # bits of a round
     leaf: int = 32  # pairs of fingerprints below which a node pair is compared outright
-    chunk: int = 200_000  # node pairs walked at a time
+    chunk: int = 16_384  # node pairs walked at a time, with up to `leaf` pairs each
 
 
 def shingle_hashes(text: str, k: int) -> np.ndarray:
@@ -136,23 +136,27 @@ def _prefix(fp: Column, depth: int) -> Column:
 
 
 def node_pairs(fps: DataFrame, params: SimHashParams) -> list[tuple[int, DataFrame]]:
-    """(depth, DataFrame a, b, diff): the pairs of trie nodes, a <= b, that tasks walk on from there."""
+    """(depth, DataFrame a, b, diff): the pairs of trie nodes, a <= b, that tasks walk on from there.
+
+    In a round each heavy pair goes to its children: a's children by a join, and for each the children that b may have
+    within the budget, which another join looks up.
+    """
     n = fps.count()
-    spark = fps.sparkSession
-    heavy = spark.createDataFrame([(0, 0, 0)], "a long, b long, diff int")
-    out, depth = [], 0
+    root = fps.sparkSession.range(1).select(F.col("id").alias("a"), F.col("id").alias("b"), F.col("id").cast("int").alias("diff"))
     if n <= params.block:
-        return [(0, heavy)] if n else []
+        return [(0, root)] if n else []
+    heavy, out, depth = root, [], 0
     while True:
         depth += params.step
-        low = F.lit((1 << params.step) - 1).cast("long")
         nodes = cut(fps.groupBy(_prefix(F.col("fp"), depth).alias("node")).agg(F.count(F.lit(1)).alias("n")))
-        up = F.shiftrightunsigned("node", params.step) if depth > params.step else F.lit(0).cast("long")
-        left = nodes.select(up.alias("a"), F.col("node").alias("x"), F.col("n").alias("nx"))
-        right = nodes.select(up.alias("b"), F.col("node").alias("y"), F.col("n").alias("ny"))
-        pairs = heavy.join(left, "a").join(right, "b").filter("a < b OR x <= y")
-        pairs = pairs.withColumn("d", F.col("diff") + F.bit_count(F.col("x").bitwiseXOR(F.col("y")).bitwiseAND(low))).filter(F.col("d") <= params.max_bits)
-        pairs = cut(pairs.select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("d").cast("int").alias("diff"), (F.when(F.col("x") == F.col("y"), F.col("nx")).otherwise(F.col("nx") + F.col("ny")) > params.block).alias("heavy")))
+        left = nodes.select(F.shiftrightunsigned("node", params.step).alias("a"), F.col("node").alias("x"), F.col("n").alias("nx"))
+        flips = F.explode(F.array(*(F.struct(F.lit(m).cast("long").alias("mask"), F.lit(m.bit_count()).alias("bits")) for m in range(1 << params.step))))
+        pairs = heavy.join(left, "a").select("a", "b", "diff", "x", "nx", flips.alias("flip")).filter(F.col("diff") + F.col("flip.bits") <= params.max_bits)
+        low = F.lit((1 << params.step) - 1).cast("long")
+        pairs = pairs.withColumn("y", F.shiftleft("b", params.step).bitwiseOR(F.col("x").bitwiseAND(low).bitwiseXOR(F.col("flip.mask")))).filter("a < b OR x <= y")
+        pairs = pairs.join(nodes.select(F.col("node").alias("y"), F.col("n").alias("ny")), "y")
+        held = F.when(F.col("x") == F.col("y"), F.col("nx")).otherwise(F.col("nx") + F.col("ny"))
+        pairs = cut(pairs.select(F.col("x").alias("a"), F.col("y").alias("b"), (F.col("diff") + F.col("flip.bits")).alias("diff"), (held > params.block).alias("heavy")))
         out.append((depth, pairs.filter(~F.col("heavy")).select("a", "b", "diff")))
         heavy = pairs.filter("heavy").select("a", "b", "diff")
         if depth + params.step > 64 or not heavy.limit(1).count():
@@ -191,7 +195,7 @@ def simhash_components(docs: DataFrame, params: SimHashParams = SimHashParams(),
     """
     marked = cut(fingerprints(docs, params, id_col, text_col))  # 16 bytes a row; texts are hashed once
     fps = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))  # copies meet here, before any pair is made
-    joined = connected_components(near_links(fps.select("fp"), params), "u", "v")
+    joined = connected_components(cut(near_links(fps.select("fp"), params)), "u", "v")
     of = fps.join(joined, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
     of = cut(of)
     firsts = of.groupBy("component").agg(F.min("first").alias("component_id"))
