@@ -14,6 +14,7 @@ look like the language of a class.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -203,13 +204,25 @@ def fit(texts: list[str | None], toxic: list[int], params: TrainParams = TrainPa
 
 
 def sample(docs: DataFrame, labels: DataFrame, params: TrainParams = TrainParams(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list, list]:
-    """Texts and labels of a bounded sample, the same for the same rows: the first rows of either class by a hash of the id."""
-    marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_toxic")).filter("_toxic IN (0, 1) AND _id IS NOT NULL")
-    short = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("_text")).filter(F.length("_text").between(1, params.doc_chars))
-    joined = short.join(marked, F.col("_doc") == F.col("_id")).withColumn("_hash", F.xxhash64("_doc", F.lit("sample")))
-    rows = []
+    """Texts and labels of a bounded sample, the same for the same rows: of either class the ids that come first by a hash,
+    chosen from the labels alone; then their texts, those within doc_chars.
+
+    A first cut by the hash leaves about half as many again as are wanted, so tasks return few rows. Labels that are
+    neither 0 nor 1 are left out, an id with both labels too.
+    """
+    marked = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_toxic")).filter("_toxic IN (0, 1) AND _id IS NOT NULL")
+    marked = marked.withColumn("_hash", F.xxhash64("_id", F.lit("sample")))
+    counts = {r["_toxic"]: r["n"] for r in marked.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen: dict[int, int] = {}
     for label, most in ((1, params.toxic_docs), (0, params.ordinary_docs)):
-        rows += joined.filter(F.col("_toxic") == label).orderBy("_hash", "_doc", "_text").select("_text", "_toxic").limit(most).collect()
+        share = min(1.0, (1.5 * most + 100) / max(counts.get(label, 0), 1))
+        within = marked.filter((F.col("_toxic") == label) & (F.col("_hash") <= F.lit(int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1)))
+        for r in within.orderBy("_hash", "_id").select("_id").limit(most).collect():
+            chosen[r["_id"]] = label if chosen.get(r["_id"], label) == label else -1
+    ids = docs.sparkSession.createDataFrame([(i, y) for i, y in chosen.items() if y >= 0], "_id long, _toxic int")  # at most toxic_docs + ordinary_docs
+    found = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(ids), F.col("_doc") == F.col("_id"))
+    rows = found.filter(F.length("_text").between(1, params.doc_chars)).select("_toxic", "_id", "_text").limit(params.toxic_docs + params.ordinary_docs).collect()
+    rows = sorted(rows, key=lambda r: (-r["_toxic"], zlib.crc32(str(r["_id"]).encode()), r["_id"], r["_text"]))
     return [r["_text"] for r in rows], [r["_toxic"] for r in rows]
 
 
