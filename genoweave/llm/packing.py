@@ -31,7 +31,7 @@ class PackParams:
     capacity: int = 4_096
     end_id: int = 1
     tokenizer: str = ""  # path of the vocabulary file; empty: the public word_bpe_49k.json
-    cache_words: int = 700_000  # words of each of the two generations whose ids a worker keeps
+    cache_words: int = 1_000_000  # words of each of the two generations whose ids a worker keeps
     branches: int = 4  # fillings tried at a node
     nodes: int = 20_000  # of the search
     per_bucket: int = 20_000  # pieces
@@ -74,8 +74,8 @@ class WordIds(dict):
         self[word] = ids
         return ids
 
-    def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode("utf-8", "surrogatepass").lower().split()))
+    def of(self, text: bytes) -> bytes:
+        return b"".join(map(self.__getitem__, text.lower().split()))
 
 
 _ENCODERS: dict[str, WordIds] = {}
@@ -99,11 +99,11 @@ def tokenised_pieces(docs: DataFrame, params: PackParams = PackParams(), id_col:
         ids = _ENCODERS.setdefault(path, None) or WordIds(path, params.cache_words)
         _ENCODERS[path] = ids
         for batch in batches:
-            rows = [(i, *p) for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for p in pieces_of(ids.of(t.as_py() or "") + end, params.capacity)]
+            rows = [(i, *p) for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for p in pieces_of(ids.of(t.as_py() or b"") + end, params.capacity)]
             columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, PIECES)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(run, PIECES)
 
 
 # --- the plan ---------------------------------------------------------------------------------------------------------
