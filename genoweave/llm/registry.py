@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from genoweave.llm import toxicity
 from genoweave.llm.common import table
+from genoweave.llm.html_text import extract_text
 from genoweave.llm.merkle import with_next_edit
 from genoweave.llm.mixing import mix_sources
 from genoweave.llm.packing import pack
@@ -25,6 +26,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -49,7 +54,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_quality_rules, op5_simhash, op6_toxicity, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_quality_rules, op4_html_text, op5_simhash, op6_toxicity, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing)}
 
 
 _LIMIT = ", ".join(
