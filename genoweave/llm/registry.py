@@ -14,8 +14,14 @@ from genoweave.llm.merkle import with_next_edit
 from genoweave.llm.mixing import mix_sources
 from genoweave.llm.packing import pack
 from genoweave.llm.quality_rules import SLACK, quality_rules
+from genoweave.llm.quotations import link_quotes
 from genoweave.llm.simhash import simhash_components
 from genoweave.llm.substring_dedup import repeats
+from genoweave.llm.token_counts import count_with_edits, sample_edits
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_with_edits(table(spark, sf_dir, "documents"), sample_edits(F.col("text")))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +47,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op7_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -54,7 +64,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_quality_rules, op4_html_text, op5_simhash, op6_toxicity, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_quality_rules, op4_html_text, op5_simhash, op6_toxicity, op7_quotation_links, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing)}
 
 
 _LIMIT = ", ".join(
@@ -103,5 +113,33 @@ FROM w LEFT JOIN kept USING (doc_id)
 """
 
 
+OP7_SQL = r"""
+WITH m AS (SELECT conv_id, turn, role, coalesce(text, '') AS t, coalesce(turn, 9223372036854775807) AS o FROM conversations),
+said_line AS (SELECT conv_id, o, role, t, unnest(string_split(t, chr(10))) AS x, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM m),
+line AS (
+  SELECT conv_id, o, role, t, i, len(regexp_replace(regexp_extract(x, '^[ \t]*(?:>[ \t]?)+'), '[^>]', '', 'g')) AS level,
+         regexp_replace(x, '^[ \t]*(?:>[ \t]?)+', '') AS body FROM said_line),
+run AS (SELECT *, sum(CASE WHEN level = before THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id, o, role, t ORDER BY i) AS n
+        FROM (SELECT *, lag(level) OVER (PARTITION BY conv_id, o, role, t ORDER BY i) AS before FROM line)),
+passage AS (SELECT conv_id, o, role, t, n, any_value(level) AS level, string_agg(body, ' ' ORDER BY i) AS whole FROM run GROUP BY ALL),
+raw AS (SELECT conv_id, o, role, t, n, level, whole AS u FROM passage UNION ALL SELECT conv_id, o, role, t, n, level, body FROM run),
+unit AS (SELECT DISTINCT conv_id, o, role, t, n, level, lower(trim(regexp_replace(u, '[ \t\n\x0B\f\r]+', ' ', 'g'))) AS u FROM raw),
+orig AS (SELECT conv_id, u, min(o) AS ref FROM unit WHERE level = 0 AND u <> '' GROUP BY conv_id, u),
+linked AS (SELECT q.*, ref FROM unit q JOIN orig f ON q.conv_id IS NOT DISTINCT FROM f.conv_id AND q.u = f.u WHERE q.level > 0 AND q.u <> '' AND ref < q.o),
+vote AS (SELECT conv_id, o, ref, sum(length(u)) AS chars FROM linked WHERE level = 1 GROUP BY ALL),
+top AS (SELECT conv_id, o, ref AS said FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, o ORDER BY chars DESC, ref DESC) AS k FROM vote) WHERE k = 1),
+found AS (SELECT conv_id, o, count(DISTINCT n) AS n_linked FROM linked GROUP BY ALL),
+own AS (
+  SELECT conv_id, o, role, t, coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (level = 0), '') AS text,
+         count(DISTINCT n) FILTER (level > 0) AS n_passages, max(level) AS max_level FROM run GROUP BY ALL),
+placed AS (
+  SELECT conv_id, turn, role, o, t, row_number() OVER w - 1 AS position, lag(o) OVER w AS previous FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY o, role, t))
+SELECT p.conv_id, p.turn, p.role, p.position, nullif(coalesce(said, previous), 9223372036854775807) AS reply_to, said IS NOT NULL AS quoted,
+       n_passages, coalesce(n_linked, 0)::BIGINT AS n_linked, max_level::BIGINT AS max_level, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text
+FROM placed p JOIN own ON p.conv_id IS NOT DISTINCT FROM own.conv_id AND p.o = own.o AND p.role IS NOT DISTINCT FROM own.role AND p.t = own.t
+LEFT JOIN top ON p.conv_id IS NOT DISTINCT FROM top.conv_id AND p.o = top.o LEFT JOIN found f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND p.o = f.o
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": OP2_SQL, "op3_quality_rules": OP3_SQL}
+    return {"op7_quotation_links": OP7_SQL, "op2_substring_dedup": OP2_SQL, "op3_quality_rules": OP3_SQL}
