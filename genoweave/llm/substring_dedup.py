@@ -20,7 +20,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -121,13 +121,13 @@ def range_min(x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 _INDEX = 28  # low bits that number symbols while the least is sought
 
 
-def anchors(levels: list[Level], valid: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+def anchors(levels: list[Level], valid: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each window the least name among the symbols of the highest level that it holds, the first of equal ones; 0
-    where it holds none. And the names of the symbols chosen, once for each place.
+    where it holds none. Where that symbol's context begins. And the names of the symbols chosen, once for each place.
 
     Which symbols a window holds, and in which order, follows from its words alone, so equal windows have equal anchors.
     """
-    out, chosen = np.zeros(len(valid), _U), []
+    out, where, chosen = np.zeros(len(valid), _U), np.zeros(len(valid), np.int64), []
     low = _U((1 << _INDEX) - 1)
     open_ = np.flatnonzero(valid)
     for r in range(len(levels) - 1, -1, -1):
@@ -138,12 +138,12 @@ def anchors(levels: list[Level], valid: np.ndarray, w: int) -> tuple[np.ndarray,
         some = end > begin
         name = mix(at.name[fit], 1000 + r) | _U(1)
         least = range_min((name & ~low) | np.arange(len(name), dtype=_U), begin[some], end[some]) & low
-        out[open_[some]] = name[least]
+        out[open_[some]], where[open_[some]] = name[least], at.lo[fit][least]
         chosen.append(name[np.unique(least)])
         open_ = open_[~some]
         if not len(open_):
             break
-    return out, np.concatenate(chosen)
+    return out, where, np.concatenate(chosen)
 
 
 def window_places(start: np.ndarray, size: np.ndarray, total: int, w: int) -> np.ndarray:
@@ -193,92 +193,109 @@ def text_spans(text: bytes, drop: np.ndarray) -> bytes:
 # --- the kernels, each over the texts of one bucket -------------------------------------------------------------------
 
 
-def _order(frame: pd.DataFrame) -> tuple[np.ndarray, list[bytes]]:
-    """The rows in order of id (nulls last), then text; and their texts."""
-    texts = [t if isinstance(t, bytes) else b"" for t in frame["text"]]
-    ids = frame["doc_id"]
-    key = sorted(range(len(texts)), key=lambda i: (pd.isna(ids.iloc[i]), 0 if pd.isna(ids.iloc[i]) else int(ids.iloc[i]), texts[i]))
-    return np.array(key, np.int64), [texts[i] for i in key]
+def _order(ids: list[int | None], texts: list[bytes]) -> list[int]:
+    """The rows in order of id (nulls last), then text."""
+    return sorted(range(len(texts)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
 
 
-def _names(frame: pd.DataFrame, p: RepeatParams) -> pd.DataFrame:
+def _rows(table: pa.Table) -> tuple[list[int | None], list[bytes]]:
+    """ids and texts of a bucket, in order."""
+    ids, texts = table["doc_id"].to_pylist(), table["text"].to_pylist()
+    key = _order(ids, texts)
+    return [ids[i] for i in key], [texts[i] for i in key]
+
+
+_NAMES = "bucket long, name long, own int"
+
+
+def _names(table: pa.Table, p: RepeatParams) -> pa.Table:
     """bucket, name, own: the anchors of the bucket's windows, once each; own: 2 if it stands at several places."""
-    _, texts = _order(frame)
-    word, start, size = tokens(texts)
-    _, chosen = anchors(parse(word, p.rounds), window_places(start, size, len(word), p.window), p.window)
+    word, start, size = tokens(_rows(table)[1])
+    _, _, chosen = anchors(parse(word, p.rounds), window_places(start, size, len(word), p.window), p.window)
     name, n = np.unique(chosen, return_counts=True)
-    return pd.DataFrame({"bucket": np.full(len(name), frame["bucket"].iloc[0], np.int64), "name": name.view(np.int64), "own": np.minimum(n, 2).astype(np.int32)})
+    bucket = np.full(len(name), table["bucket"][0].as_py(), np.int64)
+    return pa.table({"bucket": bucket, "name": name.view(np.int64), "own": np.minimum(n, 2).astype(np.int32)})
 
 
-_WINDOWS = "bucket long, h1 long, h2 int, doc long, place long, spans binary"
+_WINDOWS = "bucket long, name long, off int, doc long, place long, hashes array<long>, spans binary"
 _PLACE = 36  # low bits of a place: the word; above: the row of the bucket
 
 
-def _windows(frame: pd.DataFrame, repeated: pd.DataFrame, p: RepeatParams) -> pd.DataFrame:
-    """The windows that may repeat. Of those whose anchor is in other buckets too, the bucket's first of each: hashes, doc
-    and place. As `spans` in one row more: the places that a window of the bucket repeats, for certain."""
-    if not len(frame):
-        return pd.DataFrame(columns=["bucket", "h1", "h2", "doc", "place", "spans"])
-    key, texts = _order(frame)
+def _windows(table: pa.Table, repeated: pa.Table, p: RepeatParams) -> pa.Table:
+    """The windows that may repeat. Of those whose anchor is in other buckets too, the bucket's first of each: windows side
+    by side with one anchor in a row, by the anchor's name and its offset from the first, with a hash for each window. As
+    `spans` in one row more: the places that a window of the bucket repeats, for certain."""
+    names = [x.split()[0] for x in _WINDOWS.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+    if not table.num_rows:
+        return pa.table([pa.array([], k) for k in kinds], names=names)
+    ids, texts = _rows(table)
     word, start, size = tokens(texts)
     valid = window_places(start, size, len(word), p.window)
-    found, _ = anchors(parse(word, p.rounds), valid, p.window)
-    wide, own = (np.sort(repeated["name"].to_numpy(np.int64)[repeated["wide"].to_numpy(bool) == x].view(_U)) for x in (True, False))
-    wide_at, none_at = np.isin(found, wide), valid & (found == 0)
-    at = np.flatnonzero((valid & (wide_at | np.isin(found, own))) | none_at)
+    found, where, _ = anchors(parse(word, p.rounds), valid, p.window)
+    name, is_wide = repeated["name"].to_numpy().view(_U), repeated["wide"].to_numpy(zero_copy_only=False).astype(bool)
+    wide_at, none_at = np.isin(found, name[is_wide]), valid & (found == 0)
+    at = np.flatnonzero((valid & (wide_at | np.isin(found, name[~is_wide]))) | none_at)
     h1, h2 = window_hashes(word, at, p.window)
     order = np.lexsort((at, h2, h1))
     new = np.append(True, (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]))[: len(at)]
     later = np.sort(at[order[~new]])
-    first = order[new]
-    first = np.sort(first[wide_at[at[first]] | none_at[at[first]]])
-    row = np.searchsorted(start, at[first], "right") - 1
-    ids = frame["doc_id"].to_numpy()
-    doc = np.array([np.iinfo(np.int64).max if pd.isna(ids[i]) else int(ids[i]) for i in key], np.int64)
+    first = np.sort(order[new])
+    first = first[wide_at[at[first]] | none_at[at[first]]]
+    spot, hashed = at[first], h1[first]
+    bare = found[spot] == 0  # a window without an anchor stands for itself
+    key = np.where(bare, h2[first], found[spot])
+    offset = np.where(bare, 0, where[spot] - spot)
+    head = np.append(True, (spot[1:] != spot[:-1] + 1) | (key[1:] != key[:-1]) | (where[spot][1:] != where[spot][:-1]) | bare[1:])[: len(spot)]
+    begin = np.flatnonzero(head)
+    row = np.searchsorted(start, spot[begin], "right") - 1
+    doc = np.array([np.iinfo(np.int64).max if i is None else i for i in ids], np.int64)
     flags = np.zeros(len(word) + 1, bool)
     flags[later] = True
     spans = np.stack(runs_of(flags), axis=1).astype("<i8").tobytes()
-    bucket = int(frame["bucket"].iloc[0])
-    out = pd.DataFrame({"bucket": bucket, "h1": h1[first].view(np.int64), "h2": (h2[first] >> _U(32)).astype(np.uint32).view(np.int32), "doc": doc[row], "place": (row << _PLACE) | (at[first] - start[row]), "spans": None})
-    return pd.concat([out, pd.DataFrame({"bucket": [bucket], "h1": [xxhash.xxh64_intdigest(str(bucket)) >> 1], "h2": [0], "doc": [0], "place": [0], "spans": [spans]})], ignore_index=True)
+    bucket, n = table["bucket"][0].as_py(), len(begin)
+    columns = [
+        np.full(n + 1, bucket, np.int64), np.append(key[begin], mix(np.array([bucket], _U), 77)).view(np.int64), np.append(offset[begin], 0).astype(np.int32),
+        np.append(doc[row], 0), np.append((row << _PLACE) | (spot[begin] - start[row]), 0),
+    ]
+    lists = pa.ListArray.from_arrays(pa.array(np.append(begin, [len(spot), len(spot) + 1]), pa.int32()), pa.array(np.append(hashed, _U(0)).view(np.int64)))
+    marks = pa.array([None] * n + [spans], pa.binary())
+    return pa.table([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=False)), lists, marks], names=names)
 
 
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<first: long, last: long>>"
 
 
-def _cut(frame: pd.DataFrame, later: pd.DataFrame, p: RepeatParams, with_text: bool) -> pd.DataFrame:
+def _cut(table: pa.Table, later: pa.Table, p: RepeatParams, with_text: bool) -> pa.Table:
     """The result of each row: later has the places of windows that occur before."""
-    if not len(frame):
-        return pd.DataFrame(columns=["doc_id", "n_words", "n_removed", "kept_sha256", "removed", *(["text"] if with_text else [])])
-    key, texts = _order(frame)
-    ids, split = frame["doc_id"].to_numpy(), [t.split() for t in texts]
+    ids, texts = _rows(table)
+    split = [t.split() for t in texts]
     size = np.array([len(w) for w in split], np.int64)
     start = np.cumsum(size + 1) - size
     edge = np.zeros(int((size + 1).sum()) + p.window + 2, np.int64)
-    for packed in later["spans"]:
-        if isinstance(packed, bytes) and packed:
-            a, b = np.frombuffer(packed, "<i8").reshape(-1, 2).T
-            np.add.at(edge, a, 1)
-            np.add.at(edge, b + p.window, -1)
-    place = later["place"].to_numpy(np.int64)[later["spans"].isna().to_numpy()]
-    at = start[place >> _PLACE] + (place & ((1 << _PLACE) - 1)) if len(place) else place
-    np.add.at(edge, at, 1)
-    np.add.at(edge, at + p.window, -1)
+    for packed in later["spans"].drop_null().to_pylist():
+        a, b = np.frombuffer(packed, "<i8").reshape(-1, 2).T
+        np.add.at(edge, a, 1)
+        np.add.at(edge, b + p.window, -1)
+    place = later["place"].to_numpy()[later["spans"].is_null().to_numpy(zero_copy_only=False).astype(bool)]
+    if len(place):
+        at = start[place >> _PLACE] + (place & ((1 << _PLACE) - 1))
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + p.window, -1)
     dropped = np.cumsum(edge) > 0
-    rows = []
+    out: dict[str, list] = {"doc_id": ids, "n_words": size.tolist(), "n_removed": [], "kept_sha256": [], "removed": []} | ({"text": []} if with_text else {})
     for k, words in enumerate(split):
         drop = dropped[start[k] : start[k] + size[k]]
         first, last = runs_of(drop)
         kept = [w for w, d in zip(words, drop.tolist(), strict=True) if not d] if len(first) else words
-        i = ids[key[k]]
-        rows.append((
-            None if pd.isna(i) else int(i), len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(),
-            [{"first": a, "last": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)],
-            *([text_spans(texts[k], drop).decode("utf-8", "surrogatepass")] if with_text else []),
-        ))
-    out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256", "removed", *(["text"] if with_text else [])])
-    out["doc_id"] = out["doc_id"].astype("Int64")
-    return out
+        out["n_removed"].append(len(words) - len(kept))
+        out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
+        out["removed"].append([{"first": a, "last": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+        if with_text:
+            out["text"].append(text_spans(texts[k], drop).decode("utf-8", "surrogatepass"))
+    span = pa.struct([("first", pa.int64()), ("last", pa.int64())])
+    kinds = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "removed": pa.list_(span), "text": pa.string()}
+    return pa.table({c: pa.array(v, kinds[c]) for c, v in out.items()})
 
 
 def repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
@@ -297,14 +314,16 @@ def repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), id_col: str
     buckets = buckets_for(docs.sparkSession, total, params.bucket_bytes)
     dealt = own.select(F.pmod(F.xxhash64("doc_id", F.lit("bucket")), F.lit(buckets)).alias("bucket"), "doc_id", "text")
     # the same exchange of the texts serves all three passes
-    names = dealt.groupBy("bucket").applyInPandas(lambda f: _names(f, params), "bucket long, name long, own int")
+    names = dealt.groupBy("bucket").applyInArrow(lambda t: _names(t, params), _NAMES)
     by_name = Window.partitionBy("name")  # at most a row for each bucket
     counted = names.select("bucket", "name", (F.count(F.lit(1)).over(by_name) > 1).alias("wide"), "own").filter("wide OR own > 1").select("bucket", "name", "wide")
-    windows = dealt.groupBy("bucket").cogroup(counted.groupBy("bucket")).applyInPandas(lambda f, r: _windows(f, r, params), _WINDOWS)
-    in_order = Window.partitionBy("h1", "h2").orderBy("doc", "place")  # at most a row for each bucket
-    later = windows.withColumn("nth", F.row_number().over(in_order)).filter("spans IS NOT NULL OR nth > 1").select("bucket", "place", "spans")
+    windows = dealt.groupBy("bucket").cogroup(counted.groupBy("bucket")).applyInArrow(lambda t, r: _windows(t, r, params), _WINDOWS)
+    # a row for each window only after the shuffle by its anchor
+    each = windows.repartition(F.col("name")).select("bucket", "name", "off", "doc", "place", "spans", F.posexplode("hashes").alias("k", "hash"))
+    in_order = Window.partitionBy("name", F.col("off") - F.col("k"), "hash").orderBy("doc", "place")  # at most a row for each bucket
+    later = each.withColumn("nth", F.row_number().over(in_order)).filter("spans IS NOT NULL OR nth > 1").select("bucket", (F.col("place") + F.col("k")).alias("place"), "spans")
     schema = _RESULT + (", text string" if with_text else "")
-    return dealt.groupBy("bucket").cogroup(later.groupBy("bucket")).applyInPandas(lambda f, x: _cut(f, x, params, with_text), schema)
+    return dealt.groupBy("bucket").cogroup(later.groupBy("bucket")).applyInArrow(lambda t, x: _cut(t, x, params, with_text), schema)
 
 
 def without_repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
