@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from genoweave.plans import format_queries as formats
 from genoweave.plans import queries as domain
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(domain.QUERIES)
+    return domain.QUERIES | formats.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(domain.SQL)
+    return domain.SQL | formats.SQL
