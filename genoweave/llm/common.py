@@ -26,6 +26,20 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
+def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """row (all columns of docs as a struct), id, text: whatever docs' columns are called, no name clashes beside them."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+
+
+def with_text(rows: DataFrame, text_col: str, text: Column) -> DataFrame:
+    """The documents of packed rows with another text, and n_chars, where they have it, to match."""
+    row = F.col("row").withField(f"`{text_col}`", text)
+    if "n_chars" in rows.schema["row"].dataType.names:
+        kind = rows.schema["row"].dataType["n_chars"].dataType
+        row = row.withField("n_chars", F.when(text.eqNullSafe(F.col("text")), F.col("row.n_chars")).otherwise(F.length(text).cast(kind)))
+    return rows.select(row.alias("row")).select("row.*")
+
+
 def buckets_for(spark: SparkSession, total: int, per_bucket: int) -> int:
     """How many hash buckets hold about per_bucket units each; grows with the data."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / per_bucket), 1)
@@ -49,6 +63,6 @@ def join_groups(big: DataFrame, small: DataFrame, keys: list[str], spread: list[
         renamed = F.broadcast(renamed)
     else:
         big = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
-        renamed = renamed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+        renamed = renamed.withColumn("_copy", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
         on = on & (F.col("_salt") == F.col("_copy"))
     return big.join(renamed, on, "left").drop("_salt", "_copy", *(f"_k{i}" for i in range(len(keys))))

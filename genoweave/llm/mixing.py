@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import WORD, cut, join_groups, let, words
+from genoweave.llm.common import WORD, cut, join_groups, let, packed, with_text, words
 
 
 @dataclass(frozen=True)
@@ -144,15 +144,12 @@ def mixed_documents(docs: DataFrame, params: MixParams = MixParams(), id_col: st
     places, targets = placed(sizes, params)
     places = cut(places)
     ranges = used_segments(places, slots(targets, params), params).groupBy("sid", "bucket", "rn", "pass").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("_parts"))
-    parts = places.join(ranges, ["sid", "bucket", "rn"]).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("size").alias("_size"), "_parts")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.withColumn("_hash", F.xxhash64(text))
+    parts = places.join(ranges, ["sid", "bucket", "rn"]).select(F.col("doc_id").alias("part_id"), "mark", "size", F.col("_parts").alias("parts"))
+    rows = packed(docs, id_col, text_col)
+    rows = rows.withColumn("hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     if sizes.groupBy("doc_id", "mark").count().filter("count > 1").limit(1).count():  # each repeat has parts of its own
-        keyed = keyed.dropDuplicates([id_col, "_hash"])
-    joined = keyed.join(parts, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_mark")))
-    picked = let(words(text), lambda w: F.concat_ws(" ", F.flatten(F.transform(F.col("_parts"), lambda p: F.slice(w, (p["lo"] + 1).cast("int"), (p["hi"] - p["lo"]).cast("int"))))))
-    whole = F.aggregate("_parts", F.lit(0).cast("long"), lambda a, p: a + p["hi"] - p["lo"]) == F.col("_size")
-    out = joined.withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(picked))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length(text_col).cast("long"))
-    return out.select(*docs.columns)
+        rows = rows.dropDuplicates(["id", "hash"])
+    joined = rows.join(parts, F.col("id").eqNullSafe(F.col("part_id")) & (F.col("hash") == F.col("mark")))
+    picked = let(words(F.col("text")), lambda w: F.concat_ws(" ", F.flatten(F.transform("parts", lambda p: F.slice(w, (p["lo"] + 1).cast("int"), (p["hi"] - p["lo"]).cast("int"))))))
+    whole = F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["hi"] - p["lo"]) == F.col("size")
+    return with_text(joined.withColumn("picked", F.when(whole, F.col("text")).otherwise(picked)), text_col, F.col("picked"))

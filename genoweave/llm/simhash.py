@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import cut
+from genoweave.llm.common import cut, packed
 from genoweave.operators.graph import connected_components
 
 SEED = 42
@@ -206,6 +206,7 @@ def simhash_components(docs: DataFrame, params: SimHashParams = SimHashParams(),
 
 def deduplicated(docs: DataFrame, params: SimHashParams = SimHashParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without near-duplicates: of each component the row with the smallest id stays; rows without an id stay."""
-    kept = simhash_components(docs, params, id_col, text_col).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.filter(F.col(id_col).isNotNull())
-    return named.join(kept, F.col(id_col) == F.col("_kept"), "left_semi").unionByName(docs.filter(F.col(id_col).isNull()))
+    kept = simhash_components(docs, params, id_col, text_col).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = packed(docs, id_col, text_col)
+    named = rows.filter("id IS NOT NULL").join(kept, F.col("id") == F.col("kept_id"), "left_semi")
+    return named.select("row.*").unionByName(rows.filter("id IS NULL").select("row.*"))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import buckets_for
+from genoweave.llm.common import buckets_for, packed, with_text
 
 _U = np.uint64
 _SPACE = re.compile(rb"[\x09-\x0D\x20]+")
@@ -266,7 +266,7 @@ def _windows(table: pa.Table, repeated: pa.Table, p: RepeatParams) -> pa.Table:
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<first: long, last: long>>"
 
 
-def _cut(table: pa.Table, later: pa.Table, p: RepeatParams, with_text: bool) -> pa.Table:
+def _cut(table: pa.Table, later: pa.Table, p: RepeatParams, whole: bool) -> pa.Table:
     """The result of each row: later has the places of windows that occur before."""
     ids, texts = _rows(table)
     split = [t.split() for t in texts]
@@ -283,7 +283,7 @@ def _cut(table: pa.Table, later: pa.Table, p: RepeatParams, with_text: bool) ->
         np.add.at(edge, at, 1)
         np.add.at(edge, at + p.window, -1)
     dropped = np.cumsum(edge) > 0
-    out: dict[str, list] = {"doc_id": ids, "n_words": size.tolist(), "n_removed": [], "kept_sha256": [], "removed": []} | ({"text": []} if with_text else {})
+    out: dict[str, list] = {"doc_id": ids, "n_words": size.tolist(), "n_removed": [], "kept_sha256": [], "removed": []} | ({"text": []} if whole else {})
     for k, words in enumerate(split):
         drop = dropped[start[k] : start[k] + size[k]]
         first, last = runs_of(drop)
@@ -291,14 +291,14 @@ def _cut(table: pa.Table, later: pa.Table, p: RepeatParams, with_text: bool) ->
         out["n_removed"].append(len(words) - len(kept))
         out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
         out["removed"].append([{"first": a, "last": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)])
-        if with_text:
+        if whole:
             out["text"].append(text_spans(texts[k], drop).decode("utf-8", "surrogatepass"))
     span = pa.struct([("first", pa.int64()), ("last", pa.int64())])
     kinds = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "removed": pa.list_(span), "text": pa.string()}
     return pa.table({c: pa.array(v, kinds[c]) for c, v in out.items()})
 
 
-def repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of the kept words joined by a space, removed (spans of word numbers from 0)
     and, if asked for, text, the original with those words cut out: one row per input row.
 
@@ -322,16 +322,14 @@ def repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), id_col: str
     each = windows.repartition(F.col("name")).select("bucket", "name", "off", "doc", "place", "spans", F.posexplode("hashes").alias("k", "hash"))
     in_order = Window.partitionBy("name", F.col("off") - F.col("k"), "hash").orderBy("doc", "place")  # at most a row for each bucket
     later = each.withColumn("nth", F.row_number().over(in_order)).filter("spans IS NOT NULL OR nth > 1").select("bucket", (F.col("place") + F.col("k")).alias("place"), "spans")
-    schema = _RESULT + (", text string" if with_text else "")
-    return dealt.groupBy("bucket").cogroup(later.groupBy("bucket")).applyInArrow(lambda t, x: _cut(t, x, params, with_text), schema)
+    schema = _RESULT + (", text string" if texts else "")
+    return dealt.groupBy("bucket").cogroup(later.groupBy("bucket")).applyInArrow(lambda t, x: _cut(t, x, params, texts), schema)
 
 
 def without_repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the repeated words cut out of the texts; rows that lose all their words go. Rows without an id stay as
     they are; ids are taken to be unique, a repeated id would meet the cut texts of each of its rows."""
-    found = repeats(docs, params, id_col, text_col, with_text=True).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("n_words") == F.col("n_removed"), F.col("text").alias("_cut")).toDF("_id", "_all", "_cut")
-    joined = docs.join(found, F.col(id_col) == F.col("_id"), "left").filter("_all IS NULL OR NOT _all")
-    out = joined.withColumn(text_col, F.coalesce("_cut", F.col(text_col)))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut").isNotNull(), F.length(text_col).cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    found = repeats(docs, params, id_col, text_col, texts=True).filter("n_removed > 0")
+    changed = found.select(F.col("doc_id").alias("changed_id"), (F.col("n_words") == F.col("n_removed")).alias("gone"), F.col("text").alias("rest"))
+    joined = packed(docs, id_col, text_col).join(changed, F.col("id") == F.col("changed_id"), "left").filter("gone IS NULL OR NOT gone")
+    return with_text(joined, text_col, F.coalesce("rest", "text"))
