@@ -10,6 +10,7 @@ the plan's places by their rank among the pieces of their length.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from array import array
 from bisect import bisect_right
@@ -31,7 +32,7 @@ class PackParams:
     capacity: int = 4_096
     end_id: int = 1
     tokenizer: str = ""  # path of the vocabulary file; empty: the public word_bpe_49k.json
-    cache_words: int = 1_000_000  # words of each of the two generations whose ids a worker keeps
+    cache_words: int = 400_000  # words of each of the two generations whose ids a worker keeps
     branches: int = 4  # fillings tried at a node
     nodes: int = 20_000  # of the search
     per_bucket: int = 20_000  # pieces
@@ -44,10 +45,18 @@ class PackParams:
         return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordIds(dict):
     """The ids of white-space divided words, as little-endian bytes. The vocabulary drops white space, and no rule of it
     looks across it, so a text's ids are those of its words in turn; it lower-cases, so A-Z may be lowered first; and a
-    letter ends a run, so a full stop or comma behind one adds its own id.
+    letter ends a run, so a full stop or comma behind one adds its own id. A word of lower-case letters alone is one run,
+    which goes to the model directly.
 
     Words are kept in two generations of `most` each: when the young one is full it becomes the old one, and words that
     are met again move back.
@@ -57,10 +66,14 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.encode, self.most, self.old = Tokenizer.from_file(path).encode, most, {}
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.run, self.most, self.old = tokenizer.encode, tokenizer.model.tokenize, most, {}
+        self.letters = _byte_letters()
         self.marks = {ord(m): self.encoded(m) for m in ".,"}
 
     def encoded(self, word: str) -> bytes:
+        if word.isalpha() and word == word.lower() and unicodedata.is_normalized("NFC", word):
+            return array("I", [t.id for t in self.run(word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))]).tobytes()
         return array("I", self.encode(word, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
