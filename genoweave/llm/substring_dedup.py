@@ -48,7 +48,7 @@ def mix(x: np.ndarray, salt: int) -> np.ndarray:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word) | 1  # never 0, the mark between texts
         return h
