@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class TrainParams:
-    toxic_docs: int = 3_000  # rows of the sample, at most, and of each class; a third of them calibrate
-    ordinary_docs: int = 9_000
+    toxic_docs: int = 2_000  # rows of the sample, at most, and of each class; a third of them calibrate
+    ordinary_docs: int = 6_000
     doc_chars: int = 20_000  # longer rows are not in the sample
     window: int = 8  # words
     dmer: int = 6  # bytes
