@@ -1 +1 @@
-
+"""Scalar functions on columns."""

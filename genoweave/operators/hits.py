@@ -6,13 +6,10 @@ ranking has a total order, so results do not depend on partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: -log10 of an e-value of zero, and the least e-value that is told apart.
-ZERO_EVALUE_SCORE = 316.0
-LEAST_EVALUE = 1e-250
-
+from genoweave.functions.scalars import LEAST_EVALUE, genome_code
 
 def with_genomes(hits: DataFrame, genes: DataFrame) -> DataFrame:
     """Hits with genome_q and genome_s; a hit of an unknown gene is an error of the input and is dropped."""
@@ -31,7 +28,7 @@ def code_lookup(hits: DataFrame, codes: DataFrame) -> DataFrame:
 def genome_codes(genes: DataFrame) -> DataFrame:
     """genome, code (G and three hexadecimal digits) by lexical order."""
     n = F.row_number().over(Window.orderBy("genome"))  # one row per genome
-    return genes.select("genome").distinct().withColumn("code", F.concat(F.lit("G"), F.lpad(F.lower(F.hex(n)), 3, "0")))
+    return genes.select("genome").distinct().withColumn("code", genome_code(n))
 
 
 def without_self(hits: DataFrame) -> DataFrame:
@@ -48,10 +45,6 @@ def within_cutoffs(hits: DataFrame, evalue: float = 1e-5, identity: float = 0.0,
     return hits.filter((F.col("evalue") <= evalue) & (F.col("pident") >= identity) & (F.coalesce("match", F.lit(0.0)) >= match))
 
 
-def evalue_score(evalue: Column) -> Column:
-    return F.when(evalue == 0, F.lit(ZERO_EVALUE_SCORE)).otherwise(-F.log10(evalue))
-
-
 def best_hits(hits: DataFrame) -> DataFrame:
     """Of each query and other genome the hits with the greatest score, ties kept."""
     w = Window.partitionBy("q", "genome_q", "genome_s").orderBy(F.col("bit").desc())

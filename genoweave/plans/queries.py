@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from genoweave.operators import clusters, hits, layout, markov, prep, synteny
 from genoweave.operators.graph import connected_components
+from genoweave.plans import analyses, control
 from genoweave.plans.fixtures import FX, GENOMES, Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,9 +99,8 @@ inpn AS (SELECT genome_a AS genome, (CASE WHEN count(*) FILTER (t) > 0 THEN sum(
 
 
 def _graph(fx):
-    ranked = hits.ranked(fx.hit)
-    ortho, inpara = hits.two_way(hits.best_prefix(ranked)), hits.two_way(hits.better_prefix(ranked))
-    return ortho, inpara, hits.coorthologs(ortho, inpara, fx.hit)
+    ortho, co, inpara = analyses.graph_edges(fx.hit)
+    return ortho, inpara, co
 
 
 @query(_RANKED + "SELECT q, s, run::BIGINT AS run FROM tr")
@@ -254,6 +254,57 @@ def jn_hit_lookup(fx):
     return hits.best_hits(fx.hit).select("q", "s").join(hits.first_of_pair(fx.hit, "bit").select("q", "s", "bit"), ["q", "s"])
 
 
+@query("SELECT a.genome AS genome_a, b.genome AS genome_b FROM fx_genome a, fx_genome b WHERE a.genome <> b.genome")
+def ctl_all_vs_all(fx):
+    done = fx.genome.select(F.col("genome").alias("genome_a"), F.col("genome").alias("genome_b"))
+    return control.pending(fx.genome, done)
+
+
+@query("SELECT a.genome AS genome_a, b.genome AS genome_b, ((row_number() OVER (ORDER BY a.genome, b.genome) - 1) // 10)::BIGINT AS batch FROM fx_genome a, fx_genome b")
+def ctl_grid(fx):
+    return control.batches(hits.all_pairs_of_genomes(fx.genome))
+
+
+@query("SELECT 'done' AS output")
+def ctl_process(fx):
+    return fx.spark.createDataFrame([(control.run(["printf", "done"]),)], "output string")
+
+
+_BY_TEXT = _EDGES.replace("ORDER BY bit DESC, s)", "ORDER BY bit DESC, s::VARCHAR)").replace("x.q < x.s", "x.q::VARCHAR < x.s::VARCHAR").replace("least(c.o, d.o) AS a, greatest(c.o, d.o) AS b", "CASE WHEN c.o::VARCHAR < d.o::VARCHAR THEN c.o ELSE d.o END AS a, CASE WHEN c.o::VARCHAR < d.o::VARCHAR THEN d.o ELSE c.o END AS b")
+
+
+@query(
+    _BY_TEXT
+    + """SELECT a::VARCHAR AS a, b::VARCHAR AS b, floor(x.weight_sum * edges * 1000::DOUBLE / p.weight_sum + 0.5) / 1000 AS w FROM (SELECT * FROM ortho UNION ALL SELECT * FROM co) x JOIN pairn p ON least(x.genome_a, x.genome_b) = p.genome_a AND greatest(x.genome_a, x.genome_b) = p.genome_b
+UNION ALL SELECT a::VARCHAR, b::VARCHAR, floor(i.weight_sum * edges * 1000::DOUBLE / p.weight_sum + 0.5) / 1000 FROM inpara i JOIN inpn p ON i.genome_a = p.genome"""
+)
+def gr_omcl_modes(fx):
+    from genoweave.sources import sinks
+
+    numbered = fx.hit.withColumn("sim_id", F.col("q")).select("sim_id", "q", "s", F.concat(F.lit("1e-"), "bit").alias("evalue"), F.lit(0).alias("pident"), F.lit(1).alias("qstart"), F.lit(2).alias("qend"), F.lit(1).alias("sstart"), F.lit(2).alias("send"))
+    return analyses.graph_from(4, similarities=sinks.similarities(numbered), index=sinks.genome_index(fx.gene))
+
+
+@query(_INPARA.replace("FROM fx_rbh WHERE genome_a <> genome_b", "FROM fx_rbh WHERE bit >= 40 AND genome_a <> genome_b") + "SELECT gene, cluster, 'Ortho' AS set FROM fx_cc UNION ALL SELECT gene, cluster, 'InPara' FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY bit DESC, cluster) AS r FROM inp) WHERE r = 1")
+def pl_reciprocal_clusters(fx):
+    return analyses.reciprocal_clusters(fx.hit, fx.gene, 40).select("gene", "cluster", "set")
+
+
+@query()
+def pl_graph_clusters(fx):
+    return analyses.graph_clusters(analyses.similarity_graph(fx.hit), fx.gene)
+
+
+@query()
+def pl_synteny_spans(fx):
+    return analyses.synteny_of(fx.cluster, fx.gene).spans
+
+
+@query()
+def pl_figure(fx):
+    return analyses.figure(analyses.synteny_of(fx.cluster, fx.gene).spans, fx.contig, fx.genome)
+
+
 # --- clusters ---
 
 

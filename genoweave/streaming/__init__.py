@@ -1 +1 @@
-
+"""Nothing here: all inputs of the library are bounded files, and no operator of it is defined on streams."""

@@ -197,6 +197,29 @@ def test_configurations():
     assert repository.chain_config("[Parameters]\nINCLUDE_SELF_COMPARISONS = FALSE\n")["include_self"] is False
 
 
+def test_scalars(spark):
+    from pyspark.sql import functions as F
+
+    from genoweave.functions import scalars
+
+    one = spark.range(1).select(
+        scalars.evalue_score(F.lit(0.0)), scalars.evalue_score(F.lit(1e-5)), scalars.genome_code(F.lit(26)), scalars.genome_number(F.lit("G01a")), scalars.nearest(F.lit(162_333), F.lit(100_000)), scalars.zeros(F.lit(20_000)),
+        scalars.base_name(F.lit("a/b/c.x")), scalars.dir_name(F.lit("a/b/c.x")), scalars.end5(F.lit("-"), F.lit(1), F.lit(9)), scalars.end3(F.lit("-"), F.lit(1), F.lit(9)),
+    ).first()
+    assert tuple(one) == (316.0, 5.0, "G01a", 26, 200_000, 4, "c.x", "a/b", 9, 1)
+
+
+def test_synteny_end_to_end(spark):
+    from genoweave.plans import analyses
+
+    data = [(g, f"c{g}", i + 100 * k, "x", i, 1000 * (i if k == 0 else 13 - i) + 1, 1000 * (i if k == 0 else 13 - i) + 300, "+") for k, g in enumerate("AB") for i in range(1, 13)]
+    genes = spark.createDataFrame(data, "genome string, contig string, gene long, annotation string, family long, lend long, rend long, strand string")
+    found = analyses.synteny_of(genes.withColumnRenamed("family", "cluster"), genes)
+    span = found.spans.collect()
+    assert len(span) == 1 and span[0]["orient"] == "-" and span[0]["n_pairs"] == 12
+    assert (span[0]["left_a"], span[0]["right_a"], span[0]["len_a"], span[0]["ratio_pct"]) == (1001, 12300, 11300, 100)
+
+
 def test_training_data_subpackage_is_optional():
     import subprocess
     import sys

@@ -38,4 +38,4 @@ def test_query_matches_sql(spark, sf_dir, con, name):
 
 
 def test_every_query_without_sql_is_known():
-    assert set(catalogue.queries()) - set(catalogue.oracle_sql()) == {"gr_mcl", "gr_mcl_backindex", "gr_dag_chain"}
+    assert set(catalogue.queries()) - set(catalogue.oracle_sql()) == {"gr_mcl", "gr_mcl_backindex", "gr_dag_chain", "pl_graph_clusters", "pl_synteny_spans", "pl_figure"}
