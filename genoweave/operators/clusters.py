@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from genoweave.operators.ranking import global_rank
+
 
 def genome_counts(clusters: DataFrame) -> DataFrame:
     return clusters.groupBy("cluster", "genome").agg(F.count(F.lit(1)).alias("n"))
@@ -33,13 +35,8 @@ def uniques(genes: DataFrame, clusters: DataFrame) -> DataFrame:
 
 
 def numbered_uniques(unique_genes: DataFrame) -> DataFrame:
-    """unique_id: uniq_N by gene, over buckets of ids on top of the counts before them."""
-    bucket = F.floor(F.col("gene") / 4096)
-    keyed = unique_genes.withColumn("_b", bucket)
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bases = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    number = F.col("_base") + F.row_number().over(Window.partitionBy("_b").orderBy("gene"))
-    return keyed.join(bases, "_b").withColumn("unique_id", F.concat(F.lit("uniq_"), number)).drop("_b", "_base")
+    """unique_id: uniq_N by gene."""
+    return global_rank(unique_genes, ["gene"], "_n").withColumn("unique_id", F.concat(F.lit("uniq_"), "_n")).drop("_n")
 
 
 def core_aux_unique(counts: DataFrame, n_genomes: int) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from genoweave.operators import clusters, hits, layout, markov, prep, synteny
 from genoweave.operators.graph import connected_components
+from genoweave.operators.ranking import global_rank
 from genoweave.plans import analyses, control
 from genoweave.plans.fixtures import FX, GENOMES, Fixtures
 
@@ -381,10 +382,8 @@ def agg_ref_genome_view(fx):
 
 @query("SELECT gene, contig, lend, row_number() OVER (ORDER BY contig, lend, gene) AS place FROM fx_gene WHERE genome = 'R1'")
 def srt_ref_genes(fx):
-    from pyspark.sql import Window
-
     view = clusters.reference_view(fx.gene, fx.cluster, GENOMES, "R1")
-    return view.select("gene", "contig", "lend", F.row_number().over(Window.orderBy("contig", "lend", "gene")).cast("long").alias("place"))
+    return global_rank(view.select("gene", "contig", "lend"), ["contig", "lend", "gene"])
 
 
 @query("SELECT cluster, string_agg(DISTINCT annotation, ' && ' ORDER BY annotation) AS annotations FROM fx_cluster GROUP BY cluster")
@@ -409,10 +408,8 @@ def agg_dist_genes_taxa(fx):
 
 @query("SELECT cluster, row_number() OVER (ORDER BY cluster) AS by_number, row_number() OVER (ORDER BY cluster::VARCHAR) AS by_text FROM (SELECT DISTINCT cluster FROM fx_cluster)")
 def srt_clusters(fx):
-    from pyspark.sql import Window
-
     ids = fx.cluster.select("cluster").distinct()
-    return ids.select("cluster", *(F.row_number().over(Window.orderBy(o)).cast("long").alias(n) for o, n in ((F.col("cluster"), "by_number"), (F.col("cluster").cast("string"), "by_text"))))
+    return global_rank(global_rank(ids, ["cluster"], "by_number"), [F.col("cluster").cast("string")], "by_text")
 
 
 _IDS = ", g AS (SELECT gene AS id FROM fx_gene WHERE gene % 5 <> 0), f AS (SELECT gene AS id FROM fx_gene WHERE gene % 7 <> 0) "
@@ -557,10 +554,8 @@ def agg_chain_span(fx):
 
 @query("SELECT genome_a, contig_a, genome_b, contig_b, grp, n_pairs, row_number() OVER (ORDER BY n_pairs DESC, genome_a, contig_a, genome_b, contig_b, grp) AS place FROM fx_span")
 def srt_spans(fx):
-    from pyspark.sql import Window
-
     keys = ["genome_a", "contig_a", "genome_b", "contig_b", "grp"]
-    return fx.span.select(*keys, "n_pairs", F.row_number().over(Window.orderBy(F.col("n_pairs").desc(), *keys)).cast("long").alias("place"))
+    return global_rank(fx.span.select(*keys, "n_pairs"), [F.col("n_pairs").desc(), *map(F.col, keys)])
 
 
 def _as_chains(fx):

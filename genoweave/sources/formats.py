@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from genoweave.operators.ranking import global_rank
+
 TAB = "\t"
 
 
@@ -92,7 +94,7 @@ def fasta_total(seqs: DataFrame) -> DataFrame:
 
 
 def fasta_order(seqs: DataFrame) -> DataFrame:
-    return seqs.select("id", F.row_number().over(Window.orderBy("ord")).cast("long").alias("place"))
+    return global_rank(seqs.select("id", "ord"), ["ord"]).select("id", "place")
 
 
 def fasta_headers(seqs: DataFrame) -> DataFrame:
