@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from genoweave.llm.common import BLANKS, cut, join_groups, let, words
 
 #: Ratio -> slack added to its fence.
-SLACK = {"symbol_ratio": 0.1, "dup_line_ratio": 0.35, "repeat_ratio": 0.3, "mean_word": 0.5}
+SLACK = {"symbol_ratio": 0.1, "dup_line_ratio": 0.35, "repeat_ratio": 0.4, "mean_word": 0.5}
 #: Window positions are packed into the low bits beside the high bits of the hash; longer texts sort structs.
 POSITION_BITS = 26
 
