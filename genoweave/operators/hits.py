@@ -198,9 +198,9 @@ def hsp_identity(hsps: DataFrame) -> DataFrame:
 
 
 def orthologous_only(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (q, s) whose genes are in one ortholog list (list, gene)."""
-    listed = members.select("list", F.col("gene").alias("q")).join(members.select("list", F.col("gene").alias("s")), "list").select("q", "s").distinct()
-    return pairs.join(listed, ["q", "s"], "left_semi")
+    """Distinct pairs (q, s) whose genes are in one ortholog list (list, gene); the lists are looked up, not paired out."""
+    listed = pairs.join(members.select(F.col("gene").alias("q"), "list"), "q")
+    return listed.join(members.select(F.col("gene").alias("s"), "list"), ["s", "list"], "left_semi").select(*pairs.columns).distinct()
 
 
 def all_pairs_of_genomes(genomes: DataFrame) -> DataFrame:
