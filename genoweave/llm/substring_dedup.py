@@ -283,7 +283,7 @@ def _cut(table: pa.Table, later: pa.Table, p: RepeatParams, whole: bool) -> pa.T
         np.add.at(edge, at, 1)
         np.add.at(edge, at + p.window, -1)
     dropped = np.cumsum(edge) > 0
-    out: dict[str, list] = {"doc_id": ids, "n_words": size.tolist(), "n_removed": [], "kept_sha256": [], "removed": []} | ({"text": []} if whole else {})
+    out: dict[str, list] = {"doc_id": ids, "n_words": size.tolist(), "n_removed": [], "kept_sha256": [], "removed": []} | ({"text": [], "mark": [], "nth": []} if whole else {})
     for k, words in enumerate(split):
         drop = dropped[start[k] : start[k] + size[k]]
         first, last = runs_of(drop)
@@ -293,14 +293,17 @@ def _cut(table: pa.Table, later: pa.Table, p: RepeatParams, whole: bool) -> pa.T
         out["removed"].append([{"first": a, "last": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)])
         if whole:
             out["text"].append(text_spans(texts[k], drop).decode("utf-8", "surrogatepass"))
+            out["mark"].append(xxhash.xxh64_intdigest(texts[k], 42))
+            out["nth"].append(out["nth"][-1] + 1 if k and (ids[k - 1], texts[k - 1]) == (ids[k], texts[k]) else 1)
     span = pa.struct([("first", pa.int64()), ("last", pa.int64())])
-    kinds = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "removed": pa.list_(span), "text": pa.string()}
-    return pa.table({c: pa.array(v, kinds[c]) for c, v in out.items()})
+    kinds = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "removed": pa.list_(span), "text": pa.string(), "nth": pa.int32()}
+    return pa.table({c: pa.array(np.array(v, _U).view(np.int64)) if c == "mark" else pa.array(v, kinds[c]) for c, v in out.items()})
 
 
 def repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of the kept words joined by a space, removed (spans of word numbers from 0)
-    and, if asked for, text, the original with those words cut out: one row per input row.
+    and, if asked for, text, the original with those words cut out, mark, Spark's xxhash64 of the original, and nth, the
+    row's number among those with its id and text: one row per input row.
 
     A word goes if a window of `window` words that covers it has its word sequence at an earlier start as well: in a
     document with a smaller id, or before it in the same one. Windows are judged on the input.
@@ -322,14 +325,24 @@ def repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), id_col: str
     each = windows.repartition(F.col("name")).select("bucket", "name", "off", "doc", "place", "spans", F.posexplode("hashes").alias("k", "hash"))
     in_order = Window.partitionBy("name", F.col("off") - F.col("k"), "hash").orderBy("doc", "place")  # at most a row for each bucket
     later = each.withColumn("nth", F.row_number().over(in_order)).filter("spans IS NOT NULL OR nth > 1").select("bucket", (F.col("place") + F.col("k")).alias("place"), "spans")
-    schema = _RESULT + (", text string" if texts else "")
+    schema = _RESULT + (", text string, mark long, nth int" if texts else "")
     return dealt.groupBy("bucket").cogroup(later.groupBy("bucket")).applyInArrow(lambda t, x: _cut(t, x, params, texts), schema)
 
 
 def without_repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the repeated words cut out of the texts; rows that lose all their words go. Rows without an id stay as
-    they are; ids are taken to be unique, a repeated id would meet the cut texts of each of its rows."""
+    """docs with the repeated words cut out of the texts; rows that lose all their words go.
+
+    A row meets its own cut text by id, null ids too, hash of its text and number among rows that have both in common, so
+    of rows that are repeated the first stays, and rows that share an id keep their own texts.
+    """
     found = repeats(docs, params, id_col, text_col, texts=True).filter("n_removed > 0")
-    changed = found.select(F.col("doc_id").alias("changed_id"), (F.col("n_words") == F.col("n_removed")).alias("gone"), F.col("text").alias("rest"))
-    joined = packed(docs, id_col, text_col).join(changed, F.col("id") == F.col("changed_id"), "left").filter("gone IS NULL OR NOT gone")
+    changed = found.select(F.col("doc_id").alias("changed_id"), F.col("mark").alias("changed_mark"), F.col("nth").alias("changed_nth"), (F.col("n_words") == F.col("n_removed")).alias("gone"), F.col("text").alias("rest"))
+    # as repeats() reads ids; the clash-free names stand beside `row`, the whole row
+    rows = packed(docs, id_col, text_col).withColumn("key", F.col("id").cast("long")).withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+    if rows.groupBy("key", "mark").count().filter("count > 1").limit(1).count():
+        rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("key", "mark").orderBy(F.xxhash64("row"))))
+    else:
+        rows = rows.withColumn("nth", F.lit(1))
+    own = F.col("key").eqNullSafe(F.col("changed_id")) & (F.col("mark") == F.col("changed_mark")) & (F.col("nth") == F.col("changed_nth"))
+    joined = rows.join(changed, own, "left").filter("gone IS NULL OR NOT gone")
     return with_text(joined, text_col, F.coalesce("rest", "text"))
