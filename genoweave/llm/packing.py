@@ -54,9 +54,10 @@ def _byte_letters() -> dict[int, str]:
 
 class WordIds(dict):
     """The ids of white-space divided words, as little-endian bytes. The vocabulary drops white space, and no rule of it
-    looks across it, so a text's ids are those of its words in turn; it lower-cases, so A-Z may be lowered first; and a
-    letter ends a run, so a full stop or comma behind one adds its own id. A word of lower-case letters alone is one run,
-    which goes to the model directly.
+    looks across it, so a text's ids are those of its words in turn; it lower-cases, so A-Z may be lowered first, but for
+    words that may hold a special token; and a letter ends a run, so a full stop or comma behind one adds its own id, if
+    neither lower-casing nor normalisation changes the word. A word of lower-case letters alone is one run, which goes to
+    the model directly.
 
     Words are kept in two generations of `most` each: when the young one is full it becomes the old one, and words that
     are met again move back.
@@ -71,8 +72,12 @@ class WordIds(dict):
         self.letters = _byte_letters()
         self.marks = {ord(m): self.encoded(m) for m in ".,"}
 
+    @staticmethod
+    def settled(word: str) -> bool:
+        return word == word.lower() and unicodedata.is_normalized("NFC", word)
+
     def encoded(self, word: str) -> bytes:
-        if word.isalpha() and word == word.lower() and unicodedata.is_normalized("NFC", word):
+        if word.isalpha() and self.settled(word):
             return array("I", [t.id for t in self.run(word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))]).tobytes()
         return array("I", self.encode(word, add_special_tokens=False).ids).tobytes()
 
@@ -80,7 +85,7 @@ class WordIds(dict):
         ids = self.old.get(word)
         if ids is None:
             s = word.decode("utf-8", "replace")
-            ids = self[word[:-1]] + self.marks[word[-1]] if word[-1] in self.marks and s[-2:-1].isalpha() else self.encoded(s)
+            ids = self[word[:-1]] + self.marks[word[-1]] if word[-1] in self.marks and s[-2:-1].isalpha() and self.settled(s) else self.encoded(s)
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
@@ -88,6 +93,8 @@ class WordIds(dict):
         return ids
 
     def of(self, text: bytes) -> bytes:
+        if b"<|" in text:  # special tokens are matched before anything is lowered
+            return b"".join(self[w if b"<|" in w else w.lower()] for w in text.split())
         return b"".join(map(self.__getitem__, text.lower().split()))
 
 
