@@ -6,12 +6,15 @@ Spark joins, four bits a round, until each pair of nodes holds few enough finger
 crowded part of the trie is divided like any other. Each remaining pair is walked to the leaves by one task, which
 returns a spanning forest of the links it found; connected components join the forests.
 
-Deduplication (`deduplicated`) uses the same join with a wide budget for candidates only: documents are near-duplicates
-if the Jaccard similarity of their shingle sets is high enough, which is verified on the texts themselves.
+Deduplication (`deduplicated`) links documents whose sets of shingles are alike enough by Jaccard. The SimHash of a whole
+set tells little of that: at 0.8 some 10 of 64 bits differ, a budget that prunes nothing in the upper trie. So each set
+gets several fingerprints, each of a small sample that similar sets have in common with a known probability; the same
+trie join finds the candidates, which are then verified on the texts themselves.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -217,149 +220,245 @@ def simhash_components(docs: DataFrame, params: SimHashParams = SimHashParams(),
 class NearParams:
     shingle: int = 5
     similarity: float = 0.8  # Jaccard, of the sets of shingles
-    max_bits: int = 22  # of candidates: sets of that similarity differ in 9.7 bits of 64 on average, with a deviation of 2.9
+    samples: int = 14  # fingerprints of a set
+    sample: int = 3  # shingles behind each; two sets of similarity s have a sample in common with probability s ** sample
+    max_bits: int = 1  # of candidates: another shingle in a sample changes some 16 bits of 64
+    trie_block: int = 524_288  # fingerprints of a node pair that one task walks
     parts_bits: int = 7  # log2 of the parts of the hash range in which a set's members are counted
-    least_block: int = 8_192  # fingerprints of a node pair below which it is never divided
-
-
-def signature(text: str, params: NearParams) -> tuple[int, int, int, bytes]:
-    """Of the set of shingles: its hash, its fingerprint, its size, and how many members each part of the hash range has."""
+    salted: int = 64  # texts that meet one copy of the text they are compared with
+    unit: int = 512  # members of a group that meet each other in one piece
+    hot: int = 100_000  # members of a group that are looked up by a broadcast: at most one group for so many fingerprints
+
+
+def sampled_fingerprints(h: np.ndarray, params: NearParams) -> np.ndarray:
+    """The SimHash of each sample of a set of hashes: its least members in as many orders. Equal samples, equal bits."""
+    k = min(params.sample, len(h))
+    if not k:
+        return np.zeros(params.samples, np.int64)
+    if len(h) <= params.sample:
+        return np.full(params.samples, majority(h), np.int64)
+    salts = (np.arange(1, params.samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+    step = max(1, 1_000_000 // len(h))  # orders at a time, to bound memory
+    chosen = []
+    for at in range(0, params.samples, step):
+        x = (h[None, :] ^ salts[at : at + step]) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        chosen.append(h[np.argpartition(x ^ (x >> np.uint64(32)), k - 1, axis=1)[:, :k]])
+    bits = np.unpackbits(np.concatenate(chosen).view(np.uint8).reshape(params.samples, k, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
+    return np.packbits(2 * bits > k, axis=1, bitorder="little").view(np.int64).ravel()
+
+
+def signature(text: str, params: NearParams) -> tuple[int, list[int], int, bytes]:
+    """Of the set of shingles: its hash, its samples' fingerprints, its size, and how many members each part of the hash
+    range has."""
     h = np.unique(shingle_hashes(text, params.shingle))
     parts = np.bincount((h >> np.uint64(64 - params.parts_bits)).astype(np.int64), minlength=1 << params.parts_bits)
     whole = xxhash.xxh64_intdigest(h.tobytes(), SEED)
-    return whole - ((whole >> 63) << 64), majority(h), len(h), np.minimum(parts, 255).astype(np.uint8).tobytes()
-
-
-def near_blocks(a: tuple, b: tuple | None, params: NearParams, rows: int = 128, columns: int = 4_096):
-    """Candidates (i, j) of a = (fp, n, parts) and b (None: a itself, i < j), block by block: within the bits, and not too
-    unlike for the similarity by their sizes or by the counts of their parts, which only bound it from above."""
-    fa, na, pa_ = a
-    fb, nb, pb = a if b is None else b
-    t = params.similarity
-    for i0 in range(0, len(fa), rows):
-        for j0 in range(i0 if b is None else 0, len(fb), columns):
-            near = np.flatnonzero(np.bitwise_count(fa[i0 : i0 + rows, None] ^ fb[None, j0 : j0 + columns]) <= params.max_bits)
-            if not len(near):
-                continue
-            i, j = np.divmod(near, min(columns, len(fb) - j0))
-            i, j = i + i0, j + j0
-            x, y = na[i], nb[j]
-            ok = np.minimum(x, y) >= t * np.maximum(x, y) - 1e-9
-            if b is None:
-                ok &= i < j
-            i, j = i[ok], j[ok]
-            for at in range(0, len(i), 16_384):
-                u, v = i[at : at + 16_384], j[at : at + 16_384]
-                unlike = np.abs(pa_[u].astype(np.int16) - pb[v]).sum(axis=1)
-                ok = unlike * (1 + t) <= (na[u] + nb[v]) * (1 - t) + 1e-9
-                if ok.any():
-                    yield u[ok], v[ok]
-
-
-def _candidates(nodes: DataFrame, params: NearParams, every: bool) -> DataFrame:
-    """u, v: candidates among nodes (sig, fp, n, parts, comp). If every, all between different comp; else for each node one
-    of its candidates in each pair of trie nodes, and (u, u) for a node with candidates that is in no such pair."""
-    fps = cut(nodes.select("fp").distinct())
-    # so that four bits do for one to a million fingerprints: each round of four sends a fingerprint to 16 times the tasks
-    trie = SimHashParams(params.shingle, params.max_bits, block=min(max(params.least_block, fps.count() // 4), 262_144))
-    units = None
-    columns = ["sig", "fp", "n", "parts", "comp"]
-    for depth, pairs in node_pairs(fps, trie):
-        keyed = nodes.select(*columns).withColumn("node", _prefix(F.col("fp"), depth))
-        key = [F.lit(depth).alias("depth"), "a", "b"]
-        sides = keyed.join(pairs, F.col("node") == F.col("a")).select(*key, F.lit(0).alias("side"), *columns)
-        sides = sides.unionByName(keyed.join(pairs.filter("a <> b"), F.col("node") == F.col("b")).select(*key, F.lit(1).alias("side"), *columns))
-        units = sides if units is None else units.unionByName(sides)
-    if units is None:
-        return nodes.select(F.col("sig").alias("u"), F.col("sig").alias("v")).limit(0)
-
-    def run(table: pa.Table) -> pa.Table:
-        side, sig, comp = (table[c].to_numpy() for c in ("side", "sig", "comp"))
-        fp, n = table["fp"].to_numpy().view(np.uint64), table["n"].to_numpy()
-        parts = np.frombuffer(b"".join(table["parts"].to_pylist()), np.uint8).reshape(len(n), -1)
-        at = np.lexsort((sig, side))
-        first, second = at[side[at] == 0], at[side[at] == 1]
-        take = lambda x: (fp[x], n[x], parts[x])
-        blocks = near_blocks(take(first), take(second) if len(second) else None, params)
-        other = second if len(second) else first
-        if every:
-            found = [(first[i][k], other[j][k]) for i, j in blocks if (k := comp[first[i]] != comp[other[j]]).any()]
-            u, v = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (at[:0], at[:0])
-            return pa.table({"u": sig[u], "v": sig[v]})
-        # which candidate is left to chance, so that none becomes the partner of a whole group
-        best, some = np.zeros(len(n), np.uint64), np.zeros(len(n), bool)
-        low = np.uint64((1 << 24) - 1)
-        for i, j in blocks:
-            u, v = first[i], other[j]
-            some[u] = True
-            chance = (sig[u] ^ sig[v]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            np.maximum.at(best, v, (chance & ~low) | (u.astype(np.uint64) + np.uint64(1)))
-        v = np.flatnonzero(best)
-        u = (best[v] & low).astype(np.int64) - 1
-        some[u] = some[v] = False
-        alone = np.flatnonzero(some)
-        return pa.table({"u": np.append(sig[u], sig[alone]), "v": np.append(sig[v], sig[alone])})
-
-    return units.groupBy("depth", "a", "b").applyInArrow(run, "u long, v long")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, params: NearParams) -> DataFrame:
-    """The pairs u, v whose texts (sig, text) have the similarity; exact."""
+    return whole - ((whole >> 63) << 64), np.unique(sampled_fingerprints(h, params)).tolist(), len(h), np.minimum(parts, 255).astype(np.uint8).tobytes()
+
+
+def may_be_similar(n: tuple, parts: tuple, similarity: float) -> np.ndarray:
+    """Whether sets can have the similarity, by their sizes and the counts of their parts, which bound it from above."""
+    x, y = n
+    ok = np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-9
+    unlike = np.abs(parts[0][ok].astype(np.int16) - parts[1][ok]).sum(axis=1)
+    ok[ok] = unlike * (1 + similarity) <= (x[ok] + y[ok]) * (1 - similarity) + 1e-9
+    return ok
+
+
+def _by_group(big: DataFrame, groups: DataFrame, params: NearParams) -> DataFrame:
+    """big joined with groups (fp, size, ...) on fp. The few large groups are broadcast, so that no task reads one whole."""
+    large = F.col("size") > params.hot
+    rest = big.join(groups.filter(~large), "fp")
+    return rest.unionByName(big.join(F.broadcast(groups.filter(large)), "fp")) if groups.filter(large).limit(1).count() else rest
+
+
+def _members(nodes: DataFrame, params: NearParams) -> DataFrame:
+    """fp, sig, size, rep: the groups of two nodes and more whose samples' fingerprints the trie join puts together, and
+    of each the node whose groups hold most, which is nearest to the common text of near copies."""
+    each = nodes.select("sig", F.explode("fps").alias("fp"))
+    fps = cut(each.groupBy("fp").agg(F.count(F.lit(1)).alias("size")))  # equal ones meet here
+    links = cut(near_links(fps.select("fp"), SimHashParams(max_bits=params.max_bits, block=params.trie_block, step=2)))
+    groups = fps.filter("size > 1")
+    if links.limit(1).count():  # fingerprints that are near, not equal: their groups become one, named by the least
+        joined = cut(connected_components(links, "u", "v").toDF("fp", "group"))
+        each = each.join(joined, "fp", "left").select("sig", F.coalesce("group", "fp").alias("fp")).distinct()
+        groups = fps.join(joined, "fp", "left").groupBy(F.coalesce("group", "fp").alias("fp")).agg(F.sum("size").alias("size")).filter("size > 1")
+    members = cut(_by_group(each, cut(groups), params))
+    central = members.join(members.groupBy("sig").agg(F.sum("size").alias("reach")), "sig")
+    reps = central.groupBy("fp").agg(F.max("size").alias("size"), F.max(F.struct("reach", "sig"))["sig"].alias("rep"))
+    return cut(_by_group(members.drop("size"), cut(reps), params))
+
+
+def _similar(p: np.ndarray, q: np.ndarray, params: NearParams) -> bool:
+    """Whether two sets of shingle hashes have the similarity."""
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return both >= params.similarity * (len(p) + len(q) - both) - 1e-9
+
+
+def _verified(pairs: DataFrame, params: NearParams) -> DataFrame:
+    """u, v of those rows u, v, text_u, text_v whose texts have the similarity; exact."""
+    hashes = lambda t: np.unique(shingle_hashes(t.as_py() or "", params.shingle))
 
     def run(batches):
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3), strict=True):
-                p, q = (np.unique(shingle_hashes(t.as_py() or "", params.shingle)) for t in (x, y))
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(both >= params.similarity * (len(p) + len(q) - both) - 1e-9)
+            keep = [_similar(hashes(x), hashes(y), params) for x, y in zip(b.column(2), b.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    of = pairs.join(texts.select(F.col("sig").alias("u"), F.col("text").alias("text_u")), "u").join(texts.select(F.col("sig").alias("v"), F.col("text").alias("text_v")), "v")
-    return of.select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long")
+    return pairs.select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long")
+
+
+_UNIT = "fp long, x long, y long, block long, sig long, comp long, n long, parts binary, groups array<long>"
+
+
+def whole_units(batches) -> Iterator[pa.Table]:
+    """The rows of batches, sorted by unit (fp, x, y), in tables that hold whole units."""
+    rest = None  # the last unit so far, which may go on
+    for b in batches:
+        t = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])])
+        if not t.num_rows:
+            continue
+        key = [t[c].to_numpy() for c in ("fp", "x", "y")]
+        at = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0))
+        begin = int(at[-1]) + 1 if len(at) else 0
+        if begin:
+            yield t.slice(0, begin).combine_chunks()
+        rest = t.slice(begin).combine_chunks()
+    if rest is not None:
+        yield rest
+
+
+def pairs_apart(t: pa.Table, params: NearParams, at_a_time: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of a unit that are not of one comp and may be similar. Units of two blocks pair one with the
+    other; a pair that meets in several groups is one of the least group alone."""
+    fp, x, y, block, comp, n = (t[c].to_numpy() for c in ("fp", "x", "y", "block", "comp", "n"))
+    parts = np.frombuffer(b"".join(t["parts"].to_pylist()), np.uint8).reshape(len(n), -1)
+    none = np.iinfo(np.int64).max
+    groups = np.array([(g + [none] * params.samples)[: params.samples] for g in t["groups"].to_pylist()], np.int64).reshape(len(n), params.samples)
+    new = np.append(True, (fp[1:] != fp[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
+    begin = np.flatnonzero(new)
+    count = np.append(begin[1:], len(n))[np.cumsum(new) - 1] - np.arange(len(n)) - 1  # rows of the unit behind each
+    total = np.cumsum(count)
+    at = 0
+    while at < len(n):
+        upto = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + at_a_time, "right")))
+        own = np.arange(at, upto)
+        i = np.repeat(own, count[own])
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count[own]) - count[own], count[own])
+        at = upto
+        ok = (comp[i] != comp[j]) & ((x[i] == y[i]) | (block[i] != block[j]))
+        i, j = i[ok], j[ok]
+        ok = may_be_similar((n[i], n[j]), (parts[i], parts[j]), params.similarity)
+        i, j = i[ok], j[ok]
+        common = ((groups[i][:, :, None] == groups[j][:, None, :]).any(axis=2)) & (groups[i] != none)
+        ok = np.where(common, groups[i], none).min(axis=1, initial=none) == fp[i]
+        if ok.any():
+            yield i[ok], j[ok]
+
+
+def _links_apart(members: DataFrame, nodes: DataFrame, texts: DataFrame, params: NearParams) -> DataFrame:
+    """u, v: verified links between the comps (of nodes: sig, comp, n, parts) that a group has; of a unit a spanning
+    forest, so that no list of all its pairs is made.
+
+    A first pass finds the members that have anyone to be compared with, a second one has their texts.
+    """
+    located = members.select("fp", "size", "sig").join(nodes, "sig")
+    mixed = cut(located.groupBy("fp").agg(F.max("size").alias("size"), F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("fp", "size"))
+    located = _by_group(located.drop("size"), mixed, params)
+    # a large group is divided into blocks, which meet two at a time
+    dealt = located.withColumn("blocks", F.ceil(F.col("size") / params.unit).cast("long")).withColumn("block", F.pmod(F.xxhash64("sig", F.lit("block")), F.col("blocks")))
+    sent = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    units = sent.select("fp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "sig", "comp", "n", "parts", "groups")
+    key = ["fp", "x", "y"]
+
+    def open_ones(batches):
+        for t in whole_units(batches):
+            some = np.zeros(t.num_rows, bool)
+            for i, j in pairs_apart(t, params):
+                some[i] = some[j] = True
+            yield from t.filter(pa.array(some)).to_batches()
+
+    def forests(batches):
+        for t in whole_units(batches):
+            sig, text, sets = t["sig"].to_numpy(), t["text"], {}
+            root = {c: c for c in t["comp"].to_pylist()}
+            comp = t["comp"].to_numpy()
+
+            def find(c):
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            def of(k):
+                if k not in sets:
+                    sets[k] = np.unique(shingle_hashes(text[k].as_py() or "", params.shingle))
+                return sets[k]
+
+            found, unit = [], None
+            fp, x, y = (t[c].to_numpy() for c in key)
+            for i, j in pairs_apart(t, params):
+                for a, b in zip(i.tolist(), j.tolist(), strict=True):
+                    if unit != (now := (fp[a], x[a], y[a])):
+                        unit = now
+                        sets.clear()
+                    p, q = find(comp[a]), find(comp[b])
+                    if p != q and _similar(of(a), of(b), params):
+                        root[max(p, q)] = min(p, q)
+                        found.append((sig[a], sig[b]))
+            u, v = zip(*found, strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    opened = units.repartition(*key).sortWithinPartitions(*key).mapInArrow(open_ones, _UNIT)
+    with_texts = opened.join(texts.select("sig", "text").hint("merge"), "sig").repartition(*key).sortWithinPartitions(*key)
+    return with_texts.mapInArrow(forests, "u long, v long")
 
 
 def similar_links(nodes: DataFrame, rows: DataFrame, params: NearParams) -> DataFrame:
     """u, v: verified links whose components are those of all candidates with the similarity.
 
-    Each node is first verified against one candidate of each task; then all candidates that are not yet in one component
-    are. A large group of near copies is one component after the first part, so its pairs are never listed.
+    Each node is first verified against the central node of the group that it shares most samples with, which makes one
+    component of most of a group of near copies, however large; then all candidates that are not yet in one component are.
     """
-
-    tried = cut(_candidates(nodes.withColumn("comp", F.col("sig")), params, every=False))
-    named = tried.select(F.col("u").alias("sig")).union(tried.select("v")).distinct()
-    touched = cut(nodes.join(named, "sig", "left_semi"))
-    firsts = touched.select("sig", F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"))
-    texts = rows.join(firsts, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))).select("sig", "text")
-    texts = cut(texts.dropDuplicates(["sig"]))  # of nodes with candidates alone; both parts read them
-    pairs = tried.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    good = cut(_verified(pairs, texts, params))
+    members = _members(nodes, params)
+    shared = members.filter("sig <> rep").groupBy("sig", "rep").agg(F.count(F.lit(1)).alias("k"), F.max("size").alias("size"))
+    tried = cut(shared.groupBy("sig").agg(F.max(F.struct("k", "size", "rep")).alias("best")).select(F.col("sig").alias("u"), F.col("best.rep").alias("v"), F.ceil(F.col("best.size") / params.salted).alias("copies")))
+    heads = tried.groupBy("v").agg(F.max("copies").alias("copies"))
+    named = members.groupBy("sig").agg(F.sort_array(F.collect_set("fp")).alias("groups"))  # at most one for each sample
+    roles = named.join(tried.select(F.col("u").alias("sig"), "v", F.pmod(F.xxhash64("u", F.lit("salt")), F.col("copies")).alias("salt")), "sig", "left")
+    roles = roles.join(heads.select(F.col("v").alias("sig"), "copies"), "sig", "left")
+    touched = cut(nodes.join(roles, "sig").select("sig", "first", "n", "parts", "groups", "v", "salt", "copies"))
+    wanted = touched.select("sig", "v", "salt", "copies", F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"))
+    found = rows.select("id", "mark", "text").join(wanted, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark")))
+    texts = cut(found.select("sig", "v", "salt", "copies", "text").dropDuplicates(["sig"]))  # of nodes in groups alone
+    one = texts.filter("v IS NOT NULL").select(F.col("sig").alias("u"), "v", "salt", F.col("text").alias("text_u"))
+    other = texts.filter("copies IS NOT NULL").select(F.col("sig").alias("v"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("salt"), F.col("text").alias("text_v"))
+    good = cut(_verified(one.join(other.hint("merge"), ["v", "salt"]), params))
     comps = connected_components(good, "u", "v")
-    touched = cut(touched.join(comps, F.col("sig") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "sig")).drop("node", "component"))
-    rest = _candidates(touched, params, every=True).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    rest = cut(rest.join(pairs, ["u", "v"], "left_anti"))
-    return cut(good.unionByName(_verified(rest, texts, params)))
+    located = cut(touched.join(comps, F.col("sig") == F.col("node"), "left").select("sig", F.coalesce("component", "sig").alias("comp"), "n", "parts", "groups"))
+    return cut(good.unionByName(_links_apart(members, located, texts, params)))
 
 
 def deduplicated(docs: DataFrame, params: NearParams = NearParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without near-duplicates: of each component of links of at least the similarity one row stays, that with the
     smallest id (nulls last), the least hash of its text among equal ids.
 
+    Candidates are sets with a sample's fingerprint in common, or within max_bits of it; a pair of similarity s is none
+    with probability (1 - s ** sample) ** samples, 4e-05 at 0.8. Candidates are verified on the texts.
     Defined edge cases: texts without words, null ones too, are copies of each other; fewer words than a shingle are one
     shingle; of rows that repeat both id and text one stays; rows that share an id with different texts, and rows without
-    an id, are documents of their own.
+    an id, are documents of their own; an empty table gives no rows; other columns travel as they are, whatever their names.
     """
     rows = packed(docs, id_col, text_col).withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            sig, fp, n, parts = zip(*(signature(t.as_py() or "", params) for t in b.column(2)), strict=True) if b.num_rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sig, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(parts, pa.binary())], names=["id", "mark", "sig", "fp", "n", "parts"])
+            sig, fps, n, parts = zip(*(signature(t.as_py() or "", params) for t in b.column(2)), strict=True) if b.num_rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sig, pa.int64()), pa.array(fps, pa.list_(pa.int64())), pa.array(n, pa.int64()), pa.array(parts, pa.binary())], names=["id", "mark", "sig", "fps", "n", "parts"])
 
-    marked = cut(rows.select("id", "mark", "text").mapInArrow(run, f"id {kind}, mark long, sig long, fp long, n long, parts binary"))  # texts are hashed once
+    marked = cut(rows.select("id", "mark", "text").mapInArrow(run, f"id {kind}, mark long, sig long, fps array<long>, n long, parts binary"))  # texts are hashed once
     order = F.struct(F.col("id").isNull().alias("last"), "id", "mark")
-    nodes = cut(marked.groupBy("sig").agg(F.min(order).alias("first"), *(F.first(c).alias(c) for c in ("fp", "n", "parts"))))  # copies meet here
+    nodes = cut(marked.groupBy("sig").agg(F.min(order).alias("first"), *(F.first(c).alias(c) for c in ("fps", "n", "parts"))))  # copies meet here
     joined = connected_components(similar_links(nodes, rows, params), "u", "v")
     firsts = nodes.select("sig", "first").join(joined, F.col("sig") == F.col("node"), "left").groupBy(F.coalesce("component", "sig").alias("of")).agg(F.min("first").alias("first"))
     kept = cut(firsts.select(F.col("first.id").alias("kept_id"), F.col("first.mark").alias("kept_mark")))

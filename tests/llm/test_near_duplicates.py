@@ -37,8 +37,8 @@ def edited(words, n, r):
     return " ".join(out)
 
 
-@pytest.mark.parametrize("least_block", [8_192, 60])
-def test_near_copies_go(spark, least_block):
+@pytest.mark.parametrize("small", [{}, {"trie_block": 60, "unit": 4, "salted": 2, "hot": 3}])
+def test_near_copies_go(spark, small):
     r = random.Random(5)
     texts = []
     for _ in range(30):
@@ -48,8 +48,8 @@ def test_near_copies_go(spark, least_block):
     docs = spark.createDataFrame([(i, t, "en", "x", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     want = brute_kept(list(enumerate(texts)))
     assert len(want) < len(texts) - 100
-    assert {x["doc_id"] for x in simhash.deduplicated(docs, simhash.NearParams(least_block=least_block)).collect()} == want
-    if least_block > 60:
+    assert {x["doc_id"] for x in simhash.deduplicated(docs, simhash.NearParams(**small)).collect()} == want
+    if not small:
         assert {x["doc_id"] for x in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == want
 
 

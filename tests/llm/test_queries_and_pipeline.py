@@ -8,7 +8,8 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from genoweave.llm import registry, simhash, toxicity
+from genoweave.llm import registry, toxicity
+from tests.llm.test_near_duplicates import brute_kept
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
@@ -58,20 +59,8 @@ def test_stages(spark, sf_dir, tmp_path):
     model = toxicity.fit(*toxicity.sample(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels))
     rejected = {r["doc_id"] for r in toxicity.score(spark.read.parquet(f"{sf_dir}/documents.parquet"), model).collect() if r["predicted"]}
     assert {r["doc_id"] for r in kept["toxicity"]} == set(source) - rejected
-    # near-duplicates: the smallest id of each component of links of at most two bits
-    fp = {r["doc_id"]: simhash.simhash(r["text"] or "", 3) % 2**64 for r in kept["toxicity"]}
-    root = {i: i for i in fp}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for a in fp:
-        for b in fp:
-            if a < b and (fp[a] ^ fp[b]).bit_count() <= 2:
-                root[max(find(a), find(b))] = min(find(a), find(b))
-    assert {r["doc_id"] for r in kept["simhash_dedup"]} == {find(i) for i in fp}
+    # near-duplicates: the smallest id of each component of links of similarity 0.8 or more of five-word shingles
+    assert {r["doc_id"] for r in kept["simhash_dedup"]} == brute_kept([(r["doc_id"], r["text"]) for r in kept["toxicity"]])
     # substrings: no window of 20 words twice; documents without repeats stay as they are
     seen = set()
     before = {r["doc_id"]: r["text"] for r in kept["simhash_dedup"]}
