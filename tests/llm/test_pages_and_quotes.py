@@ -1,5 +1,9 @@
 """Web pages and conversations."""
 
+import itertools
+import random
+import time
+
 import duckdb
 import pytest
 
@@ -15,30 +19,103 @@ def page(i, body, menu="<li><a href=/a>A</a><li><a href=/b>B</a>"):
     )
 
 
-def test_story_without_landmarks():
+def texts(spark, pages, params=P, partitions=3):
+    d = spark.createDataFrame([(i, f"http://h.example/{i}", h) for i, h in enumerate(pages)], "page_id long, url string, html string").repartition(partitions)
+    return [r["text"] for r in sorted(html_text.extract_text(d, params).collect())]
+
+
+def test_story_without_landmarks(spark):
     pages = [page(i, f"<h1>Title {i}</h1><p>Some &amp; words&nbsp;of {i}<br>more <b>bold</b>ly<p>Second   para\n{i} with <a href=x>link</a>.<ul><li>one{i}<li>two</ul>") for i in range(8)]
-    w = None
-    for p in pages:
-        own = html_text.wrapper_of([html_text.parse(p)])
-        w = own if w is None else html_text.merged(w, own)
-    path = html_text.region(w, P)
-    for i, p in enumerate(pages):
-        assert html_text.main_text(p, w, path, P).split("\n") == [f"Title {i}", f"Some & words of {i} more boldly", f"Second para {i} with link.", f"one{i}", "two"]
+    want = [["Title {}", "Some & words of {} more boldly", "Second para {} with link.", "one{}"] for _ in pages]
+    assert texts(spark, pages) == ["\n".join(w).replace("{}", str(i)) for i, w in enumerate(want)]  # "two" is on every page
+
+
+PLAIN = "<div class=x7><div class=q{i}>Our notice to all readers, who read it on each page of ours, again and again.</div><div><h2>Story {i}</h2><p>{a}</p><p>Follow us on paper.</p><div><p>{b}</p></div></div><div><p>One more of our lines.</p><div>tel. 123</div></div></div>"
+
+
+def test_wrapper_decides_without_landmarks_and_names(spark):
+    """Fixed text goes whatever its tag; without the wrapper it would stay."""
+    pages = [PLAIN.format(i=i, a=f"What happened {i} " * (3 + i), b=f"More of it {i * i}.") for i in range(9)]
+    want = [f"Story {i}\n" + " ".join([f"What happened {i}"] * (3 + i)) + f"\nMore of it {i * i}." for i in range(9)]
+    found = texts(spark, pages)
+    assert found == want
+    assert all(html_text.main_text(h, None) != t for h, t in zip(pages, want))
+    assert "Follow us" in html_text.main_text(pages[0], None)
+    for other in (texts(spark, pages, partitions=1), texts(spark, pages, partitions=9), texts(spark, pages, html_text.WrapperParams(broadcast_bytes=0, broadcast_rows=0, salts=2)), texts(spark, pages, html_text.WrapperParams(entries=2))):
+        assert other == want
+    # fewer aligned pages than there are, or lists aligned by their keys, change nothing here
+    assert texts(spark, pages, html_text.WrapperParams(tree_pages=2)) == texts(spark, pages, html_text.WrapperParams(cells=0)) == want
+
+
+def test_copies_are_no_template(spark):
+    one = "<html><body><div><p>The very same story, told once.</p></div></body></html>"
+    assert texts(spark, [one] * 9) == ["The very same story, told once."] * 9
+
+
+def test_names_are_hints():
+    p = '<html><body><div class="article-share-story"><p>real text</p></div></body></html>'
+    assert html_text.main_text(p, None) == "real text"
+    p = '<body><div class="share story"><p>real text, and a lot of it</p><div class="ad">buy</div><div class="comments"><p>me too</p></div></div>'
+    assert html_text.main_text(p, None) == "real text, and a lot of it"
 
 
 def test_article_and_tags_left_open():
-    p = '<html><body><nav><a>x</a></nav><article><header><h1>H</h1></header><p>a<p>b<div class="ad">no</div><aside>no</aside><p>c &lt;d&gt; &#233;<!-- no --></article><footer>f</footer>'
-    assert html_text.main_text(p, None, None, P) == "H\na\nb\nc <d> é"
-    assert html_text.main_text("", None, None, P) == html_text.main_text(None, None, None, P) == ""
-    assert html_text.main_text("just text", None, None, P) == "just text"
-    assert html_text.main_text("<div", None, None, P) is not None and html_text.main_text("<<<>>>&&", None, None, P) is not None
+    p = '<html><body><nav><a>x</a></nav><article><header><h1>H</h1></header><p>a long first paragraph<p>b<div class="ad">no</div><aside>no</aside><p>c &lt;d&gt; &#233;<!-- no --></article><footer>f</footer>'
+    assert html_text.main_text(p, None) == "H\na long first paragraph\nb\nc <d> é"
+    assert html_text.main_text("", None) == html_text.main_text(None, None) == ""
+    assert html_text.main_text("just text", None) == "just text"
+    assert html_text.main_text("<div", None) == "" and html_text.main_text("<<<>>>&&", None) == "<<<>>>&&"
+    assert html_text.main_text("a < b <p title='x>y'>c</p><p title='x>z<p>d", None) == "a < b\nc\nz\nd"
+    assert html_text.main_text("<p>x<script>no</p>", None) == "x" and html_text.main_text("<p>x<style>no</style >y<SCRIPT>no</Script>z", None) == "xyz"
+
+
+def test_odd_pages_take_linear_time():
+    began = time.time()
+    assert html_text.main_text("<div>" * 10_000 + "deep" + "</div>" * 10_000 + "tail", None) == "deep\ntail"
+    assert html_text.main_text("text " + "<a " * 350_000, None) == "text"
+    html_text.main_text("<a href='x" * 100_000 + ">", None)
+    html_text.main_text("<p>x</p></q></r>" * 50_000, None)
+    html_text.main_text("".join(f"<p>x<h{i % 5 + 1}>y{i}" for i in range(20_000)), None)
+    both = html_text.merged([["#", [[str(i * 7 % 11), []] for i in range(3_000)]]], [["#", [[str(i * 5 % 13), []] for i in range(3_000)]]], P)
+    assert len(both) == 1 and time.time() - began < 20
+
+
+def tree_from(r, depth=0):
+    return [r.choice("ab") if depth else "#", [tree_from(r, depth + 1) for _ in range(r.randrange(4) if depth < 3 else 0)]]
+
+
+def most_pairs(a, b):
+    """Brute force: tries every way to pair children in order."""
+    if a[0] != b[0]:
+        return 0
+    best = 0
+    for n in range(min(len(a[1]), len(b[1])) + 1):
+        for x in itertools.combinations(a[1], n):
+            for y in itertools.combinations(b[1], n):
+                found = [most_pairs(p, q) for p, q in zip(x, y)]
+                if all(found):
+                    best = max(best, sum(found))
+    return 1 + best
+
+
+def test_tree_matching_finds_most_pairs(monkeypatch):
+    r = random.Random(4)
+    for _ in range(300):
+        a, b = tree_from(r), tree_from(r)
+        best = most_pairs(a, b)
+        assert html_text.matches(a, b) == best
+        paired = [(i, j) for i, j in html_text.by_weight(a[1], b[1]) if i is not None and j is not None]
+        assert 1 + sum(most_pairs(a[1][i], b[1][j]) for i, j in paired) == best
+        with monkeypatch.context() as m:
+            m.setattr(html_text, "SMALL", 0)
+            assert html_text.matches(a, b) <= best
 
 
 def test_tree_matching_aligns_what_agrees():
-    x, y = (html_text.wrapper_of([html_text.parse(s)]) for s in ("<div><h1>a</h1><p>b</p><hr><table><tr><td>1</table></div>", "<div><p>b</p><ul><li>q</ul><table><tr><td>2</table></div>"))
+    x, y = (html_text.tree_of([html_text.parse(s)], P) for s in ("<div><h1>a</h1><p>b</p><hr><table><tr><td>1</table></div>", "<div><p>b</p><ul><li>q</ul><table><tr><td>2</table></div>"))
     assert html_text.matches(x, y) == 6  # root, div, p, table, tr, td
-    both = html_text.merged(x, y)
-    assert [k[html_text.KEY] for k in both[html_text.KIDS][0][html_text.KIDS]] == ["h1", "p", "ul", "table"]
+    both = html_text.merged([x], [y], P)[0]
+    assert [k[0] for k in both[1][0][1]] == ["h1", "p", "ul", "table"]
 
 
 def test_pages_as_a_table(spark):
@@ -47,7 +124,7 @@ def test_pages_as_a_table(spark):
     found = {(r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_text(d).collect()}
     assert found == {(i, f"Text number {i} is here.", 22) for i in range(7)} | {(50, "alone", 5), (51, "", 0), (None, "z", 1)}
     assert html_text.extract_text(d.limit(0)).count() == 0
-    salted = html_text.extract_text(d, html_text.WrapperParams(broadcast_hosts=0, flush_hosts=1))
+    salted = html_text.extract_text(d, html_text.WrapperParams(broadcast_bytes=0, entries=1))
     assert {(r["page_id"], r["text"], r["n_chars"]) for r in salted.collect()} == found
 
 
