@@ -2,30 +2,31 @@
 
 Every document gets exact base counts. Mergeable quantile sketches (percentile_approx) of four ratios, kept for each
 language and source, for each language, and for all documents, give the fences; a document is kept if its ratios lie
-within the fences of its own group. No fixed cutoff is used beyond the base rule and the slack, which keeps a fence
-open where a group has no spread.
+within the fences of its own group. A fence lies beyond a quantile in the tail of the group, by a multiple of what parts
+that quantile from the median, and never inside the same quantile of the group's language. No ratio has a fixed cutoff:
+beyond the base rule all that is fixed are shares of documents.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genoweave.llm.common import BLANKS, cut, join_groups, let, words
 
-#: Ratio -> slack added to its fence.
-SLACK = {"symbol_ratio": 0.1, "dup_line_ratio": 0.35, "repeat_ratio": 0.4, "mean_word": 0.5}
-#: Window positions are packed into the low bits beside the high bits of the hash; longer texts sort structs.
-POSITION_BITS = 26
+#: Ratio -> the share of a group's documents that lie below its tail.
+TAILS = {"symbol_ratio": 0.95, "dup_line_ratio": 0.99, "repeat_ratio": 0.99, "mean_word": 0.95}
+SPREAD = 1.5
 
 
 @dataclass(frozen=True)
 class QualityParams:
-    spread: float = 3.0  # fences lie this many quartile ranges beyond the quartiles
+    tails: dict[str, float] = field(default_factory=lambda: dict(TAILS))
+    spread: float = SPREAD  # fences lie so many times the way from the median to the tail beyond the tail
     accuracy: int = 10_000  # of the sketches
-    min_group: int = 30  # smaller groups of language and source use their language's sketch, then the corpus'
+    min_group: int = 100  # smaller groups of language and source use their language's fences, then the corpus'
     max_broadcast_groups: int = 5_000  # above it the thresholds are joined by a salted shuffle
     salts: int = 64
 
@@ -33,7 +34,8 @@ class QualityParams:
 def repeated_words(ws: Column) -> Column:
     """Words that lie in a 3-word window which the text has twice or more.
 
-    Window hashes are sorted with their positions, so equal windows lie side by side: O(n log n) a text.
+    Where two window hashes are equal, they are sorted with their positions, so equal windows lie side by side: O(n log n)
+    a text.
     """
 
     def covered(at: Column) -> Column:
@@ -41,18 +43,13 @@ def repeated_words(ws: Column) -> Column:
         return F.aggregate(gap, F.lit(0).cast("long"), lambda a, g: a + F.coalesce(g, F.lit(3)).cast("long"))
 
     def in_windows(h: Column) -> Column:
-        low = F.lit((1 << POSITION_BITS) - 1).cast("long")
-        packed = F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("long"))))
+        def marked(order: Column) -> Column:
+            value = lambda k: F.get(order, k)["h"]
+            same = F.filter(order, lambda p, k: (value(k - 1) == p["h"]) | (value(k + 1) == p["h"]))
+            return F.sort_array(F.transform(same, lambda p: p["i"]))
 
-        def marked(order: Column, position) -> Column:
-            value = lambda k: F.get(h, position(F.get(order, k)))
-            same = F.filter(order, lambda p, k: (value(k - 1) == F.get(h, position(p))) | (value(k + 1) == F.get(h, position(p))))
-            return F.sort_array(F.transform(same, position))
-
-        short = let(packed, lambda s: let(marked(s, lambda p: p.bitwiseAND(low).cast("int")), covered))
-        structs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-        long = let(structs, lambda s: let(marked(s, lambda p: p["i"]), covered))
-        return F.when(F.size(h) < (1 << POSITION_BITS), short).otherwise(long)
+        order = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(let(order, lambda s: let(marked(s), covered)))
 
     hashed = F.transform(ws, lambda w: F.xxhash64(w))
     windows = let(hashed, lambda x: F.transform(F.slice(x, 1, F.greatest(F.size(x) - 2, F.lit(0))), lambda a, i: F.xxhash64(a, F.get(x, i + 1), F.get(x, i + 2))))
@@ -92,22 +89,29 @@ def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def fences(stats: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """lang, source and the fences of every group; from the sketches of documents that pass the base rule."""
-    grouped = stats.filter(~F.col("base_failed")).select(F.struct("lang", "source").alias("own"), F.struct(F.col("lang")).alias("lang"), *SLACK)
-    quartiles = F.array(F.lit(0.25), F.lit(0.75))
-    sketch = [F.percentile_approx(m, quartiles, params.accuracy).alias(m) for m in SLACK]
-
-    def of(frame: DataFrame, *keys: str) -> DataFrame:
-        found = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sketch)
-        spread = {m: params.spread * (F.col(m)[1] - F.col(m)[0]) + slack for m, slack in SLACK.items()}
-        limits = [(F.col(m)[1] + x).alias(f"{m}_high") for m, x in spread.items()] + [(F.col("mean_word")[0] - spread["mean_word"]).alias("mean_word_low")]
-        return found.select(*keys, F.struct(F.col("n"), *limits).alias("_".join(["limits", *keys])))
-
-    own, lang, corpus = of(grouped, "own"), of(grouped, "lang"), of(grouped)
+    """lang, source, limits (n, each ratio's high, mean_word_low) of every group; from the sketches of documents that pass
+    the base rule. Groups of fewer than min_group such documents have the limits of their language or, if that has as
+    few, of all documents."""
+    grouped = stats.filter(~F.col("base_failed")).select(F.struct("lang", "source").alias("own"), F.struct(F.col("lang")).alias("lang"), *params.tails)
+    sketch = [F.percentile_approx(m, F.array(*map(F.lit, (round(1 - q, 9), 0.5, q))), params.accuracy).alias(m) for m, q in params.tails.items()]
+
+    def of(frame: DataFrame, name: str, *keys: str) -> DataFrame:
+        high = [(F.col(m)[2] + params.spread * (F.col(m)[2] - F.col(m)[1])).alias(f"{m}_high") for m in params.tails]
+        low = (F.col("mean_word")[0] - params.spread * (F.col("mean_word")[1] - F.col("mean_word")[0])).alias("mean_word_low")
+        tails = [*(F.col(m)[2].alias(f"{m}_high") for m in params.tails), F.col("mean_word")[0].alias("mean_word_low")]
+        return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sketch).select(*keys, F.struct("n", *high, low).alias(name), F.struct(*tails).alias(f"{name}_tails"))
+
+    own, lang, corpus = of(grouped, "limits_own", "own"), of(grouped, "limits_lang", "lang"), of(grouped, "limits")
     groups = stats.select("lang", "source").distinct().select("lang", "source", F.struct("lang", "source").alias("own"), F.struct(F.col("lang")).alias("by"))
     joined = groups.join(own, groups["own"].eqNullSafe(own["own"]), "left").join(lang.withColumnRenamed("lang", "l"), F.col("by").eqNullSafe(F.col("l")), "left").join(F.broadcast(corpus), F.lit(True), "left")
-    big = lambda c: F.when(F.col(c)["n"] >= params.min_group, F.col(c))
-    return joined.select(groups["lang"], groups["source"], F.coalesce(big("limits_own"), big("limits_lang"), F.col("limits")).alias("limits"))
+
+    def within(name: str, floor: str) -> Column:
+        """The limits, nowhere inside the tails of the floor."""
+        high = [F.greatest(F.col(name)[f"{m}_high"], F.col(floor)[f"{m}_high"]).alias(f"{m}_high") for m in params.tails]
+        return F.when(F.col(name)["n"] >= params.min_group, F.struct(F.col(name)["n"].alias("n"), *high, F.least(F.col(name)["mean_word_low"], F.col(floor)["mean_word_low"]).alias("mean_word_low")))
+
+    limits = F.coalesce(within("limits_own", "limits_lang_tails"), within("limits_lang", "limits_tails"), F.col("limits"))
+    return joined.select(groups["lang"], groups["source"], limits.alias("limits"))
 
 
 def quality_rules(docs: DataFrame, params: QualityParams = QualityParams(), **columns: str) -> DataFrame:
@@ -120,6 +124,6 @@ def quality_rules(docs: DataFrame, params: QualityParams = QualityParams(), **co
     limits = cut(fences(stats, params))
     joined = join_groups(stats, limits, ["lang", "source"], ["doc_id"], params.max_broadcast_groups, params.salts)
     within = F.col("mean_word") >= F.col("limits.mean_word_low")
-    for m in SLACK:
+    for m in params.tails:
         within = within & (F.col(m) <= F.col(f"limits.{m}_high"))
     return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(True)))

@@ -13,7 +13,7 @@ from genoweave.llm.html_text import extract_text
 from genoweave.llm.merkle import with_next_edit
 from genoweave.llm.mixing import mix_sources
 from genoweave.llm.packing import pack
-from genoweave.llm.quality_rules import SLACK, quality_rules
+from genoweave.llm.quality_rules import SPREAD, TAILS, quality_rules
 from genoweave.llm.quotations import link_quotes
 from genoweave.llm.simhash import simhash_components
 from genoweave.llm.substring_dedup import repeats
@@ -67,10 +67,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_quality_rules, op4_html_text, op5_simhash, op6_toxicity, op7_quotation_links, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing)}
 
 
-_LIMIT = ", ".join(
-    f"quantile_disc({m}, 0.75) + (3.0 * (quantile_disc({m}, 0.75) - quantile_disc({m}, 0.25)) + {s}) AS {m}_high" for m, s in SLACK.items()
-) + f", quantile_disc(mean_word, 0.25) - (3.0 * (quantile_disc(mean_word, 0.75) - quantile_disc(mean_word, 0.25)) + {SLACK['mean_word']}) AS mean_word_low, count(*) AS n"
-_PICK = ", ".join(f"CASE WHEN o.n >= 30 THEN o.{c} WHEN g.n >= 30 THEN g.{c} ELSE a.{c} END AS {c}" for c in [*(f"{m}_high" for m in SLACK), "mean_word_low"])
+_Q = "quantile_disc({}, {})".format
+_TAIL = ", ".join(f"{_Q(m, q)} AS {m}_tail" for m, q in TAILS.items()) + f", {_Q('mean_word', round(1 - TAILS['mean_word'], 9))} AS mean_word_foot"
+_LIMIT = (
+    _TAIL + ", " + ", ".join(f"{_Q(m, q)} + {SPREAD} * ({_Q(m, q)} - {_Q(m, 0.5)}) AS {m}_high" for m, q in TAILS.items())
+    + ", {0} - {1} * ({2} - {0}) AS mean_word_low, count(*) AS n".format(_Q("mean_word", round(1 - TAILS["mean_word"], 9)), SPREAD, _Q("mean_word", 0.5))
+)
+_PICK = ", ".join(f"CASE WHEN o.n >= 100 THEN greatest(o.{m}_high, g.{m}_tail) WHEN g.n >= 100 THEN greatest(g.{m}_high, a.{m}_tail) ELSE a.{m}_high END AS {m}_high" for m in TAILS)
+_PICK += ", CASE WHEN o.n >= 100 THEN least(o.mean_word_low, g.mean_word_foot) WHEN g.n >= 100 THEN least(g.mean_word_low, a.mean_word_foot) ELSE a.mean_word_low END AS mean_word_low"
 
 OP3_SQL = rf"""
 WITH base AS (
@@ -95,7 +99,7 @@ lim AS (
   LEFT JOIN own o ON o.lang IS NOT DISTINCT FROM d.lang AND o.source IS NOT DISTINCT FROM d.source
   LEFT JOIN by_lang g ON g.lang IS NOT DISTINCT FROM d.lang CROSS JOIN every a)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce({" AND ".join(f"{m} <= {m}_high" for m in SLACK)} AND mean_word >= mean_word_low, true) AS kept
+       NOT base_failed AND coalesce({" AND ".join(f"{m} <= {m}_high" for m in TAILS)} AND mean_word >= mean_word_low, true) AS kept
 FROM stats s JOIN lim ON s.lang IS NOT DISTINCT FROM lim.lang AND s.source IS NOT DISTINCT FROM lim.source
 """
 

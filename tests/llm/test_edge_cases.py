@@ -1,6 +1,8 @@
 """Every operator on crooked rows and on none, against plain Python."""
 
 import hashlib
+import math
+import random
 import zlib
 from collections import Counter
 
@@ -167,14 +169,36 @@ def test_base_counts(odd_docs):
 
 
 def test_thresholds_follow_the_source(spark):
-    plain = [(i, sentence(i, 80), "en", "prose") for i in range(60)]
-    code = [(100 + i, " ".join(w + ("#" if k % 3 == 0 else "") for k, w in enumerate(sentence(i, 80).split())), "en", "code") for i in range(60)]
-    odd = [(500, " ".join(w + "###" for w in sentence(99, 80).split()), "en", "prose")]
-    d = spark.createDataFrame(plain + code + odd, "doc_id long, text string, lang string, source string")
-    kept = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(d).collect()}
-    assert all(kept[i] for i in kept if i < 500) and not kept[500]
-    salted = quality_rules.quality_rules(d, quality_rules.QualityParams(max_broadcast_groups=0))
-    assert {r["doc_id"]: r["kept"] for r in salted.collect()} == kept
+    """Each source has its own fences, though no quartile of it differs from 0; small ones have their language's."""
+    marked = lambda i, every, mark: " ".join(w + (mark if k % every == 0 else "") for k, w in enumerate(sentence(i, 80).split()))
+    prose = [(i, sentence(i, 80) if i % 10 else marked(i, 40, "#"), "en", "prose") for i in range(120)]
+    code = [(200 + i, marked(i, 3, "#") if i % 10 == 0 else sentence(i, 80), "en", "code") for i in range(120)]
+    few = [(400 + i, marked(i, 20, "#"), "en", "few") for i in range(20)]
+    odd = [(500, marked(99, 2, "##"), "en", "prose"), (501, marked(98, 2, "#"), "en", "code"), (502, marked(97, 1, "####"), "en", "code")]
+    d = spark.createDataFrame(prose + code + few + odd, "doc_id long, text string, lang string, source string")
+    params = quality_rules.QualityParams(tails=quality_rules.TAILS | {"mean_word": 0.99}, spread=1.0)
+    out = quality_rules.quality_rules(d, params).collect()
+    high = {r["source"]: r["limits"]["symbol_ratio_high"] for r in out}
+    assert high["prose"] < high["code"] and sorted(r["doc_id"] for r in out if not r["kept"]) == [500, 502]
+    by_hand = {}
+    for source in ("prose", "code"):
+        x = sorted(r["symbol_ratio"] for r in out if r["source"] == source and not r["base_failed"])
+        by_hand[source] = 2 * x[math.ceil(0.95 * len(x)) - 1] - x[math.ceil(0.5 * len(x)) - 1]
+    every = sorted(r["symbol_ratio"] for r in out if not r["base_failed"])
+    floor = every[math.ceil(0.95 * len(every)) - 1]
+    assert high == {s: max(x, floor) for s, x in by_hand.items()} | {"few": 2 * floor - every[math.ceil(0.5 * len(every)) - 1]}
+    salted = quality_rules.quality_rules(d, quality_rules.QualityParams(tails=params.tails, spread=1.0, max_broadcast_groups=0))
+    assert {r["doc_id"]: r["kept"] for r in salted.collect()} == {r["doc_id"]: r["kept"] for r in out}
+
+
+def test_repeated_words_by_whole_hashes(spark):
+    r = random.Random(3)
+    texts = [" ".join(r.choice("abc") for _ in range(n)) for n in (0, 1, 2, 3, 4, 9, 30, 200)] + ["x " * 50, " ".join(f"w{i}" for i in range(500)) + " w1 w2 w3 w7 w8"]
+    d = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    for row in quality_rules.text_stats(d).collect():
+        ws = texts[row["doc_id"]].split()
+        c = Counter(zip(ws, ws[1:], ws[2:]))
+        assert row["n_repeat_words"] == len({k for i in range(len(ws) - 2) if c[tuple(ws[i : i + 3])] > 1 for k in (i, i + 1, i + 2)})
 
 
 # --- mixing ---
