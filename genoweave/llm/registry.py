@@ -52,7 +52,7 @@ def op7_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "shards", "first_shard")
 
 
 def op9_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

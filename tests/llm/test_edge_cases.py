@@ -235,6 +235,71 @@ def test_mix(spark, odd_docs):
     assert sum(len(words(r["text"])) for r in mixed) == sum(r["taken"] for r in found)
 
 
+def test_words_taken_by_brute_force(spark):
+    """Every slot read word by word: which document's, in which shard, and the mixed texts."""
+    docs = spark.createDataFrame([(i, sentence(i, 5 + i * 37 % 120), "en", "abc"[i * i % 3]) for i in range(120)], "doc_id long, text string, lang string, source string")
+    p = mixing.MixParams(block=16, shard_slots=8, docs_per_bucket=10)
+    sizes = mixing.word_sizes(docs)
+    places, targets = mixing.placed(sizes, p)
+    text = {r["doc_id"]: r["text"].split() for r in docs.collect()}
+    line = {}
+    for r in sorted(places.collect(), key=lambda r: (r["sid"], r["start"])):
+        own = line.setdefault(r["sid"], [])
+        assert r["start"] == len(own)
+        own += [(r["doc_id"], k) for k in range(r["size"])]
+    slots = mixing.slots(targets, p).collect()
+    n = len(slots)
+    assert sorted(r["shard"] * 8 + r["place"] for r in slots) == list(range(n))
+    taken, shards, parts = Counter(), {}, {}
+    for r in slots:
+        assert 0 < r["take"] <= 16
+        for i, k in line[r["sid"]][r["block"] * 16 : r["block"] * 16 + r["take"]]:
+            taken[i] += 1
+            shards.setdefault(i, set()).add(r["shard"])
+            parts.setdefault((i, r["pass"]), []).append((k, r["shard"] * 8 + r["place"]))
+    found = {r["doc_id"]: (r["taken"], r["shards"], r["first_shard"]) for r in mixing.mix_sources(docs, p).collect()}
+    assert found == {i: (taken[i], len(shards.get(i, ())), min(shards[i]) if i in shards else None) for i in text}
+    uses = Counter((i, k, n) for (i, n), x in parts.items() for k, _ in x)
+    assert max(uses.values()) == 1  # a pass takes no word twice
+    out = mixing.mixed_documents(docs, p)
+    want = Counter((i, " ".join(text[i][k] for k, _ in sorted(x))) for (i, _), x in parts.items())
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == want
+    # a partition has whole shards, in order
+    first = {}
+    for (i, _), x in parts.items():
+        first.setdefault((i, " ".join(text[i][k] for k, _ in sorted(x))), set()).add(min(at for _, at in x))
+    for part in out.rdd.glom().collect():
+        at = [min(first[r["doc_id"], r["text"]]) // 8 for r in part if len(first[r["doc_id"], r["text"]]) == 1]
+        assert at == sorted(at)
+
+
+def test_shards_are_drawn_at_random(spark):
+    """The counts of a source in the shards spread as they do when slots are drawn without choice."""
+    targets = spark.createDataFrame([("a", 0, 40_000, 40_000.0), ("b", 1, 10_000, 30_000.0), ("c", 2, 50_000, 30_000.0)], "source string, sid long, source_size long, target double")
+    for seed in (7, 8, 9):
+        p = mixing.MixParams(block=10, shard_slots=50, seed=seed)
+        counts = mixing.shard_counts(mixing.slots(targets, p)).collect()
+        total, shards = sum(r["n"] for r in counts), 200
+        assert total == 10_000
+        for sid, n in ((0, 4_000), (1, 3_000), (2, 3_000)):
+            q = n / total
+            of = {r["shard"]: r["n"] for r in counts if r["sid"] == sid}
+            assert sum(of.values()) == n
+            variance = 50 * q * (1 - q) * (total - 50) / (total - 1)
+            chi = sum((of.get(k, 0) - 50 * q) ** 2 / variance for k in range(shards))
+            assert abs(chi - (shards - 1)) < 5 * math.sqrt(2 * (shards - 1)), (seed, sid, chi)
+
+
+def test_mixed_rows_keep_their_columns(spark):
+    text = sentence(3, 40)
+    rows = [(1, text, "en", "a", 1), (1, text, "de", "a", 2), (1, text, None, "b", 3), (1, text, "b", None, 3), (None, text, "fr", "b", 4), (2, text, "en", "a", 1), (2, text, "en", "a", 1)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, hash int")
+    out = Counter(tuple(r) for r in mixing.mixed_documents(d, mixing.MixParams(block=8)).collect() if r["text"] == text)
+    assert set(out) <= set(rows) and out[1, text, None, "b", 3] <= 3
+    whole = mixing.mixed_documents(d, mixing.MixParams(block=8, weights=(1,))).collect()
+    assert {(r["doc_id"], r["lang"], r["source"], r["hash"]) for r in whole} == {(r[0], *r[2:]) for r in rows}
+
+
 def test_permutation_is_one(spark):
     for n in (1, 2, 7, 64, 1000):
         d = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), 16, F.lit(1)).alias("x"))
