@@ -118,8 +118,8 @@ FROM w LEFT JOIN kept USING (doc_id)
 
 
 OP7_SQL = r"""
-WITH m AS (SELECT conv_id, turn, role, coalesce(text, '') AS t, coalesce(turn, 9223372036854775807) AS o FROM conversations),
-said_line AS (SELECT conv_id, o, role, t, unnest(string_split(t, chr(10))) AS x, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM m),
+WITH RECURSIVE m AS (SELECT conv_id, turn, role, coalesce(text, '') AS t, coalesce(turn, 9223372036854775807) AS o FROM conversations),
+said_line AS (SELECT conv_id, o, role, t, unnest(string_split(t, chr(10))) AS x, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM (SELECT DISTINCT conv_id, o, role, t FROM m)),
 line AS (
   SELECT conv_id, o, role, t, i, len(regexp_replace(regexp_extract(x, '^[ \t]*(?:>[ \t]?)+'), '[^>]', '', 'g')) AS level,
          regexp_replace(x, '^[ \t]*(?:>[ \t]?)+', '') AS body FROM said_line),
@@ -127,7 +127,9 @@ run AS (SELECT *, sum(CASE WHEN level = before THEN 0 ELSE 1 END) OVER (PARTITIO
         FROM (SELECT *, lag(level) OVER (PARTITION BY conv_id, o, role, t ORDER BY i) AS before FROM line)),
 passage AS (SELECT conv_id, o, role, t, n, any_value(level) AS level, string_agg(body, ' ' ORDER BY i) AS whole FROM run GROUP BY ALL),
 raw AS (SELECT conv_id, o, role, t, n, level, whole AS u FROM passage UNION ALL SELECT conv_id, o, role, t, n, level, body FROM run),
-unit AS (SELECT DISTINCT conv_id, o, role, t, n, level, lower(trim(regexp_replace(u, '[ \t\n\x0B\f\r]+', ' ', 'g'))) AS u FROM raw),
+norm AS (SELECT conv_id, o, role, t, n, level, lower(trim(regexp_replace(u, '[ \t\n\x0B\f\r]+', ' ', 'g'))) AS u FROM raw),
+entire AS (SELECT conv_id, o, role, t, n, level, lower(trim(regexp_replace(whole, '[ \t\n\x0B\f\r]+', ' ', 'g'))) AS u FROM passage),
+unit AS (SELECT * FROM norm UNION SELECT conv_id, o, role, t, n, level, unnest(string_split(regexp_replace(u, '([.!?]) ', '\1' || chr(10), 'g'), chr(10))) FROM entire),
 orig AS (SELECT conv_id, u, min(o) AS ref FROM unit WHERE level = 0 AND u <> '' GROUP BY conv_id, u),
 linked AS (SELECT q.*, ref FROM unit q JOIN orig f ON q.conv_id IS NOT DISTINCT FROM f.conv_id AND q.u = f.u WHERE q.level > 0 AND q.u <> '' AND ref < q.o),
 vote AS (SELECT conv_id, o, ref, sum(length(u)) AS chars FROM linked WHERE level = 1 GROUP BY ALL),
@@ -136,12 +138,22 @@ found AS (SELECT conv_id, o, count(DISTINCT n) AS n_linked FROM linked GROUP BY
 own AS (
   SELECT conv_id, o, role, t, coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (level = 0), '') AS text,
          count(DISTINCT n) FILTER (level > 0) AS n_passages, max(level) AS max_level FROM run GROUP BY ALL),
-placed AS (
-  SELECT conv_id, turn, role, o, t, row_number() OVER w - 1 AS position, lag(o) OVER w AS previous FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY o, role, t))
-SELECT p.conv_id, p.turn, p.role, p.position, nullif(coalesce(said, previous), 9223372036854775807) AS reply_to, said IS NOT NULL AS quoted,
+node AS (
+  SELECT n.conv_id, n.o, said, previous, coalesce(said, previous) AS p
+  FROM (SELECT conv_id, o, lag(o) OVER (PARTITION BY conv_id ORDER BY o) AS previous FROM (SELECT DISTINCT conv_id, o FROM m)) n
+  LEFT JOIN top ON n.conv_id IS NOT DISTINCT FROM top.conv_id AND n.o = top.o),
+tree AS (
+  SELECT conv_id, o, [o] AS path, 0 AS depth FROM node WHERE p IS NULL
+  UNION ALL SELECT n.conv_id, n.o, list_append(path, n.o), depth + 1 FROM node n JOIN tree t ON n.conv_id IS NOT DISTINCT FROM t.conv_id AND n.p = t.o),
+walk AS (
+  SELECT t.conv_id, t.o, path, depth, sum(CASE WHEN e.o IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY t.conv_id ORDER BY path) - 1 AS thread
+  FROM tree t LEFT JOIN (SELECT conv_id, p, min(o) AS o FROM node WHERE p IS NOT NULL GROUP BY ALL) e ON t.conv_id IS NOT DISTINCT FROM e.conv_id AND t.o = e.o)
+SELECT m.conv_id, m.turn, m.role, row_number() OVER (PARTITION BY m.conv_id ORDER BY path, m.role NULLS FIRST, m.t) - 1 AS position, nullif(p, 9223372036854775807) AS reply_to,
+       depth::BIGINT AS depth, thread::BIGINT AS thread, said IS NOT NULL AS quoted,
        n_passages, coalesce(n_linked, 0)::BIGINT AS n_linked, max_level::BIGINT AS max_level, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text
-FROM placed p JOIN own ON p.conv_id IS NOT DISTINCT FROM own.conv_id AND p.o = own.o AND p.role IS NOT DISTINCT FROM own.role AND p.t = own.t
-LEFT JOIN top ON p.conv_id IS NOT DISTINCT FROM top.conv_id AND p.o = top.o LEFT JOIN found f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND p.o = f.o
+FROM m JOIN own ON m.conv_id IS NOT DISTINCT FROM own.conv_id AND m.o = own.o AND m.role IS NOT DISTINCT FROM own.role AND m.t = own.t
+JOIN walk w ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.o = w.o JOIN node ON m.conv_id IS NOT DISTINCT FROM node.conv_id AND m.o = node.o
+LEFT JOIN found f ON m.conv_id IS NOT DISTINCT FROM f.conv_id AND m.o = f.o
 """
 
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 import time
 
 import duckdb
@@ -167,3 +168,101 @@ def test_a_message_follows_what_it_replies_to(talk):
     place = {r["turn"]: r["position"] for r in rows}
     assert sorted(r["position"] for r in rows) == list(range(7))
     assert all(r["reply_to"] is None or place[r["reply_to"]] < r["position"] for r in rows)
+    # 3 answers 1, 4 the one before, 5 quotes 3: 5 comes after 4, in a thread of its own; 2 after 1, and after it the thread of 3
+    assert [(r["turn"], r["depth"], r["thread"]) for r in sorted(rows, key=lambda r: r["position"])] == [(0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 2, 1), (4, 3, 1), (5, 3, 2), (5, 3, 2)]
+
+
+def brute_links(rows):
+    """conv, turn, role, position, reply_to, depth, thread, quoted, n_passages, n_linked of (conv, turn, role, text)."""
+    norm = lambda x: re.sub(r"[ \t\n\x0b\f\r]+", " ", x).strip(" ").lower()
+    last = 2**63 - 1
+    out = []
+    for conv in {r[0] for r in rows}:
+        own = sorted(((last if t is None else t), role, text or "") for c, t, role, text in rows if c == conv)
+        told = []
+        for o, role, text in own:
+            passages = []
+            for line in text.split("\n"):
+                mark = re.match(r"[ \t]*(?:>[ \t]?)+", line)
+                level, body = (mark[0].count(">"), line[mark.end() :]) if mark else (0, line)
+                if passages and passages[-1][0] == level:
+                    passages[-1][1].append(body)
+                else:
+                    passages.append((level, [body]))
+            units = [(level, {u for u in [norm(" ".join(b)), *map(norm, b), *re.sub(r"([.!?]) ", r"\1\n", norm(" ".join(b))).split("\n")] if u}) for level, b in passages]
+            told.append((o, role, text, units))
+        first = {}
+        for o, _, _, units in told:
+            for level, us in units:
+                if level == 0:
+                    for u in us:
+                        first[u] = min(first.get(u, o), o)
+        turns = sorted({o for o, *_ in told})
+        parent, said = {}, {}
+        for k, turn in enumerate(turns):
+            votes = {}
+            for o, _, _, units in told:
+                for level, us in units:
+                    for u in us:
+                        if o == turn and level == 1 and first.get(u, o) < o:
+                            votes[first[u]] = votes.get(first[u], 0) + len(u)
+            said[turn] = max(votes, key=lambda x: (votes[x], x)) if votes else None
+            parent[turn] = said[turn] if votes else turns[k - 1] if k else None
+        order, threads = [], 0
+
+        def visit(turn, depth, thread):
+            nonlocal threads
+            order.append((turn, depth, thread))
+            for n, kid in enumerate(t for t in turns if parent[t] == turn):
+                if n:
+                    threads += 1
+                visit(kid, depth + 1, thread if not n else threads)
+
+        visit(turns[0], 0, 0)
+        place = {t: (k, d, th) for k, (t, d, th) in enumerate(order)}
+        ranked = sorted(told, key=lambda x: (place[x[0]][0], x[1], x[2]))
+        for k, (o, role, text, units) in enumerate(ranked):
+            links = [any(first.get(u, o) < o for u in us) for level, us in units if level]
+            p = parent[o]
+            linked = sum(any(any(first.get(u, o) < o for u in us) for x in told if x[0] == o for m, (level, us) in enumerate(x[3]) if level and m == n) for n in range(max(len(x[3]) for x in told if x[0] == o)))
+            out.append((conv, None if o == last else o, role, k, p if p != last else None, place[o][1], place[o][2], said[o] is not None, len(links), linked))
+    return out
+
+
+def test_generated_conversations_by_brute_force(spark):
+    """Nested, partial and re-wrapped quotations."""
+    r = random.Random(8)
+    rows = []
+    for conv in range(14):
+        said = []
+        for turn in range(r.randrange(1, 40)):
+            parts = []
+            for _ in range(r.randrange(3)):
+                if said:
+                    sentences = r.choice(said)
+                    at = r.randrange(len(sentences))
+                    words = " ".join(sentences[at : at + r.randrange(1, 4)]).split()
+                    width, level = r.randrange(3, 12), r.choice((1, 1, 1, 2, 3))
+                    quoted = [" ".join(words[i : i + width]) for i in range(0, len(words), width)]
+                    parts += [">" * level + r.choice(("", " ")) + (q.upper() if r.random() < 0.2 else q) for q in quoted]
+            mine = [f"{r.choice(['So', 'But', 'Well'])} {' '.join(f'w{r.randrange(50)}' for _ in range(r.randrange(3, 9)))}{r.choice('.!?')}" for _ in range(r.randrange(1, 5))]
+            said.append(mine)
+            parts.append(r.choice((" ", "\n")).join(mine))
+            rows.append((conv, turn * r.choice((1, 1, 1)), r.choice(("user", "assistant")), "\n".join(parts)))
+            if r.random() < 0.05:
+                rows.append((conv, turn, "user", "once more\n> " + mine[0]))
+    rows.append((3, None, "user", "the last"))
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = sorted(brute_links(rows), key=repr)
+    assert max(w[6] for w in want) > 3 and sum(w[7] for w in want) > 50
+    for params in (quotations.QuoteParams(), quotations.QuoteParams(turns_per_block=3)):
+        found = quotations.link_quotes(d, params).drop("max_level", "text").collect()
+        assert sorted((tuple(x) for x in found), key=repr) == want
+
+
+def test_a_long_conversation_in_reply_order(spark):
+    """A chain of 1,500 messages with one branch, deeper than any recursion."""
+    rows = [(1, i, "user", f"m{i} says this." if i != 1_000 else "> m10 says this.\nback") for i in range(1_500)]
+    found = sorted(quotations.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect(), key=lambda x: x["position"])
+    assert [x["turn"] for x in found] == list(range(1_500))
+    assert found[-1]["depth"] == 11 + 499 and found[999]["depth"] == 999 and found[-1]["thread"] == 1 and found[1_000]["reply_to"] == 10
