@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
@@ -72,43 +73,57 @@ def match_scores(matches: DataFrame, p: ChainParams = ChainParams()) -> DataFram
     return matches.withColumn("score", F.least(F.lit(float(p.max_match)), F.floor(-10 * F.log10(e) + 0.5) / 10))
 
 
+def _best_chain(ms: list[int], x: np.ndarray, y: np.ndarray, score: np.ndarray, p: ChainParams) -> tuple[float, list[int]]:
+    """Score and places in ms of the best chain of the matches ms, which are in order."""
+    xs, ys = x[ms], y[ms]
+    best, back = np.empty(len(ms)), np.empty(len(ms), np.int64)
+    first = np.searchsorted(xs, xs - p.max_distance - 1, "left")
+    for i in range(len(ms)):
+        low, gain, prev = first[i], 0.0, -1
+        if low < i:
+            dx, dy = xs[i] - xs[low:i] - 1, ys[i] - ys[low:i] - 1
+            gaps = np.floor(np.maximum(dx, dy) / p.gap_length + 0.5)
+            got = best[low:i] + np.where(gaps > 0, p.gap_open, 0.0) + p.gap_extend * gaps
+            got[(dx < 0) | (dy < 0) | (dy > p.max_distance)] = 0.0
+            k = int(np.argmax(got))  # the earlier of equal ones
+            if got[k] > 0:
+                gain, prev = float(got[k]), low + k
+        best[i], back[i] = float(score[ms[i]]) + gain, prev
+    top = int(np.argmax(best))
+    chain, i = [], top
+    while i >= 0:
+        chain.append(int(i))
+        i = back[i]
+    return float(best[top]), chain[::-1]
+
+
 def best_chains(x: np.ndarray, y: np.ndarray, score: np.ndarray, p: ChainParams) -> list[tuple[float, list[int]]]:
     """(score, matches) of the collinear chains, best first, each match in one chain at most.
 
     A chain goes up in both coordinates with at most max_distance places between neighbours; gaps cost open and extend for
-    each gap_length. Ties go to the chain that ends earlier, then to the earlier predecessor.
+    each gap_length. Ties go to the chain that ends earlier, then to the earlier predecessor. No chain crosses a gap of
+    more than max_distance, so what lies between such gaps is chained by itself, and only where a chain was taken off anew.
     """
-    order = np.lexsort((y, x))
-    alive, out, least = order.tolist(), [], p.least_score()
-    while alive:
-        best: list[float] = []
-        back: list[int] = []
-        low = 0
-        for i, m in enumerate(alive):
-            gain, prev = 0.0, -1
-            while x[m] - x[alive[low]] - 1 > p.max_distance:
-                low += 1
-            for j in range(low, i):
-                dx, dy = x[m] - x[alive[j]] - 1, y[m] - y[alive[j]] - 1
-                if dx < 0 or not 0 <= dy <= p.max_distance:
-                    continue
-                gaps = int(max(dx, dy) / p.gap_length + 0.5)
-                got = best[j] + (p.gap_open if gaps else 0.0) + p.gap_extend * gaps
-                if got > gain:
-                    gain, prev = got, j
-            best.append(float(score[m]) + gain)
-            back.append(prev)
-        top = max(range(len(alive)), key=lambda i: (best[i], -i))
-        if best[top] < least:
-            break
-        chain, i = [], top
-        while i >= 0:
-            chain.append(i)
-            i = back[i]
-        chain.reverse()
-        out.append((best[top], [alive[i] for i in chain]))
+    order = np.lexsort((y, x)).tolist()
+    rank = {m: i for i, m in enumerate(order)}
+    least, out = p.least_score(), []
+    heap: list[tuple[float, int, list[int], list[int]]] = []
+
+    def add(ms: list[int]) -> None:
+        cuts = [0, *(np.flatnonzero(np.diff(x[ms]) - 1 > p.max_distance) + 1).tolist(), len(ms)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a < b:
+                part = ms[a:b]
+                total, chain = _best_chain(part, x, y, score, p)
+                if total >= least:
+                    heapq.heappush(heap, (-total, rank[part[chain[-1]]], part, chain))
+
+    add(order)
+    while heap:
+        total, _, part, chain = heapq.heappop(heap)
+        out.append((-total, [part[i] for i in chain]))
         gone = set(chain)
-        alive = [m for i, m in enumerate(alive) if i not in gone]
+        add([m for i, m in enumerate(part) if i not in gone])
     return out
 
 

@@ -152,7 +152,7 @@ def _seqs(fx):
 
 
 def _records(fx):
-    return sinks.fasta(_seqs(fx).drop("ord"), 20).select(F.substring("value", 2, 1_000_000).alias("value")).withColumn("ord", F.regexp_extract("value", "^p(\\d+)", 1).cast("long"))
+    return sinks.fasta(_seqs(fx).drop("ord"), 20).select(F.substr("value", F.lit(2)).alias("value")).withColumn("ord", F.regexp_extract("value", "^p(\\d+)", 1).cast("long"))
 
 
 @query(_SEQ + 'SELECT id, "desc", seq FROM sq')
@@ -189,7 +189,7 @@ def src_fasta_broad(fx):
 
 @query("SELECT genome, count(*) AS n FROM fx_gene GROUP BY genome")
 def snk_split_fasta(fx):
-    written = sinks.fasta(_headed(fx)).select("genome", F.substring("value", 2, 1_000_000).alias("value")).withColumn("ord", F.lit(0))
+    written = sinks.fasta(_headed(fx)).select("genome", F.substr("value", F.lit(2)).alias("value")).withColumn("ord", F.lit(0))
     return formats.fasta_headers(formats.fasta_records(written)).groupBy("genome").agg(F.count(F.lit(1)).alias("n"))
 
 

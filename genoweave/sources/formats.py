@@ -13,8 +13,8 @@ TAB = "\t"
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """value, file and ord: the lines of text files; ord grows within a file."""
-    raw = spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_b"))
-    return raw.withColumn("ord", F.monotonically_increasing_id()).drop("_b")
+    raw = spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("value"), F.col("_metadata.file_path").alias("file"))
+    return raw.withColumn("ord", F.monotonically_increasing_id())
 
 
 def field(i: int, value: Column | str = "value", sep: str = TAB) -> Column:
@@ -74,8 +74,9 @@ def gene_genomes(rows: DataFrame) -> DataFrame:
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """id, desc, seq, ord of FASTA files, a record a row."""
-    return fasta_records(spark.read.option("lineSep", ">").text(path).withColumn("ord", F.monotonically_increasing_id()))
+    """id, desc, seq, ord of FASTA files, a record a row. A record begins at a line that begins with >."""
+    records = spark.read.option("lineSep", "\n>").text(path).withColumn("ord", F.monotonically_increasing_id())
+    return fasta_records(records.withColumn("value", F.regexp_replace("value", "^\\s*>", "")))  # the first one's mark
 
 
 def fasta_records(records: DataFrame) -> DataFrame:
@@ -173,7 +174,7 @@ def markov_cluster_lines(rows: DataFrame, codes: DataFrame | None = None) -> Dat
     words = F.filter(F.split(F.regexp_replace("value", head, ""), "\\s+"), lambda x: x != "")
     each = rows.select(*(number(F.regexp_extract("value", head, i)).alias(n) for i, n in ((1, "cluster"), (2, "genes"), (3, "taxa"))), F.explode(words).alias("w"))
     bare = F.regexp_replace("w", "\\([^()]*\\)$", "")
-    out = each.select("cluster", "genes", "taxa", F.regexp_extract("w", "\\(([^()]*)\\)$", 1).alias("code"), F.regexp_replace(bare, "^G[0-9a-f]{3}\\|", "").alias("gene"))
+    out = each.select("cluster", "genes", "taxa", F.regexp_extract("w", "\\(([^()]*)\\)$", 1).alias("code"), F.regexp_replace(bare, "^G[0-9a-f]{3,}\\|", "").alias("gene"))
     return out if codes is None else out.join(F.broadcast(codes), "code", "left")  # one row per genome
 
 
@@ -254,7 +255,7 @@ def contig_lists(rows: DataFrame) -> DataFrame:
     """genome, contig, place of an order file: `#genome`, then a contig a line."""
     w = Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)  # a small file
     head = F.startswith("value", F.lit("#"))
-    named = rows.filter(F.trim("value") != "").withColumn("genome", F.last(F.when(head, F.substring("value", 2, 1000)), True).over(w)).filter(~head)
+    named = rows.filter(F.trim("value") != "").withColumn("genome", F.last(F.when(head, F.substr("value", F.lit(2))), True).over(w)).filter(~head)
     return named.select("genome", F.trim("value").alias("contig"), F.row_number().over(Window.partitionBy("genome").orderBy("ord")).cast("long").alias("place"))
 
 
