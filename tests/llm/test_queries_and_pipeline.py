@@ -90,6 +90,49 @@ def test_stages(spark, sf_dir, tmp_path):
     assert len(kept["packing"]) >= len(kept["mixing"])
 
 
-def test_run(spark, sf_dir):
+def test_run(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "shared_folder", lambda spark: str(tmp_path))
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 0
+    (folder,) = os.listdir(tmp_path)
+    assert os.listdir(tmp_path / folder) == ["packing"]
+
+
+def test_a_named_run_is_resumed(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "shared_folder", lambda spark: str(tmp_path))
+    ran = []
+
+    def stage(name, f):
+        def run(spark, docs, sf_dir):
+            ran.append(name)
+            if name == "b" and ran.count("b") == 1:
+                raise RuntimeError("lost")
+            return f(docs)
+
+        return name, run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [stage("a", lambda d: d.limit(20)), stage("b", lambda d: d.select("doc_id"))])
+    with pytest.raises(RuntimeError):
+        corpus_pipeline.run(spark, sf_dir, "trial")
+    assert corpus_pipeline.run(spark, sf_dir, "trial").count() == 20 and ran == ["a", "b", "b"]
+    corpus_pipeline.forget(spark, "trial")
+    assert os.listdir(tmp_path) == []
+
+
+def test_stages_on_odd_rows(spark, odd_docs, no_docs, sf_dir):
+    """Nulls, repeated rows and ids, empty tables, columns with clashing names: whole outputs."""
+    plain = odd_docs.select("doc_id", "text", "lang", "source", "n_chars", "bucket", "fp", "node", "size")
+    rows = [r.asDict() for r in plain.collect()]
+    brute = lambda rs: {i for i in brute_kept([(k, r["text"]) for k, r in enumerate(rs)])}
+    order = sorted(range(len(rows)), key=lambda k: (rows[k]["doc_id"] is None, rows[k]["doc_id"] or 0))
+    near = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, plain, sf_dir).collect()]
+    ranked = [rows[k] for k in order]
+    want = [ranked[k] for k in brute(ranked)]
+    assert sorted(x[0] is None for x in near) == sorted(w["doc_id"] is None for w in want) and len(near) == len(want)
+    assert sorted(str(x[0]) for x in near) == sorted(str(w["doc_id"]) for w in want)
+    for name, f in corpus_pipeline.STAGES:
+        out, none = f(spark, plain, sf_dir), f(spark, no_docs.select(*plain.columns), sf_dir)
+        assert none.count() == 0
+        if name != "packing":
+            assert out.columns == none.columns == plain.columns
+            assert {(r["doc_id"], r["lang"], r["source"]) for r in out.collect()} <= {(r["doc_id"], r["lang"], r["source"]) for r in rows}
