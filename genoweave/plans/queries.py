@@ -11,7 +11,7 @@ from genoweave.operators import clusters, hits, layout, markov, prep, synteny
 from genoweave.operators.graph import connected_components
 from genoweave.operators.ranking import global_rank
 from genoweave.plans import analyses, control
-from genoweave.plans.fixtures import FX, GENOMES, Fixtures
+from genoweave.plans.fixtures import FX, GENOMES, LEAST_BIT, Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,7 +63,7 @@ def agg_inparalog_argmax(fx):
 
 @query("SELECT gene, cluster AS component FROM fx_cc")
 def gr_single_linkage(fx):
-    return connected_components(fx.rbh.filter("bit >= 40"), "a", "b").toDF("gene", "component")
+    return connected_components(fx.rbh, "a", "b").toDF("gene", "component")
 
 
 @query("SELECT least(q, s) AS a, greatest(q, s) AS b, min(bit) AS bit FROM fx_hit GROUP BY ALL")
@@ -164,21 +164,21 @@ def gr_omcl_graph(fx):
 
 @query()
 def gr_mcl(fx):
-    return markov.markov_clusters(fx.rbh.filter("bit >= 40").select("a", "b", F.col("bit").alias("w")))
+    return markov.markov_clusters(fx.rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w")))
 
 
 @query()
 def gr_mcl_backindex(fx):
-    return markov.backindex(markov.markov_clusters(fx.rbh.filter("bit >= 40").select("a", "b", F.col("bit").alias("w"))), fx.gene)
+    return markov.backindex(markov.markov_clusters(fx.rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w"))), fx.gene)
 
 
 @query(
-    """, e AS (SELECT a, b, bit AS w FROM fx_rbh WHERE bit >= 40), both2 AS (SELECT a AS i, b AS j, w::DOUBLE AS w FROM e UNION ALL SELECT b, a, w FROM e), lp AS (SELECT * FROM both2 UNION ALL SELECT j, j, max(w) FROM both2 GROUP BY j),
+    """, e AS (SELECT a, b, bit AS w FROM fx_rbh WHERE bit >= 75), both2 AS (SELECT a AS i, b AS j, w::DOUBLE AS w FROM e UNION ALL SELECT b, a, w FROM e), lp AS (SELECT * FROM both2 UNION ALL SELECT j, j, max(w) FROM both2 GROUP BY j),
 m AS (SELECT i, j, w / sum(w) OVER (PARTITION BY j) AS m FROM lp), sq AS (SELECT x.i, y.j, sum(x.m * y.m) AS m FROM m x JOIN m y ON x.j = y.i GROUP BY ALL)
 SELECT i, j, floor(m * m / sum(m * m) OVER (PARTITION BY j) * 1000000 + 0.5)::BIGINT AS micro FROM sq"""
 )
 def gr_mcl_step(fx):
-    step = markov.one_step(fx.rbh.filter("bit >= 40").select("a", "b", F.col("bit").alias("w")))
+    step = markov.one_step(fx.rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w")))
     return step.select("i", "j", F.floor(F.col("m") * 1000000 + 0.5).cast("long").alias("micro"))
 
 
@@ -286,9 +286,9 @@ def gr_omcl_modes(fx):
     return analyses.graph_from(4, similarities=sinks.similarities(numbered), index=sinks.genome_index(fx.gene))
 
 
-@query(_INPARA.replace("FROM fx_rbh WHERE genome_a <> genome_b", "FROM fx_rbh WHERE bit >= 40 AND genome_a <> genome_b") + "SELECT gene, cluster, 'Ortho' AS set FROM fx_cc UNION ALL SELECT gene, cluster, 'InPara' FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY bit DESC, cluster) AS r FROM inp) WHERE r = 1")
+@query(_INPARA.replace("FROM fx_rbh WHERE genome_a <> genome_b", "FROM fx_rbh WHERE genome_a <> genome_b") + "SELECT gene, cluster, 'Ortho' AS set FROM fx_cc UNION ALL SELECT gene, cluster, 'InPara' FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY bit DESC, cluster) AS r FROM inp) WHERE r = 1")
 def pl_reciprocal_clusters(fx):
-    return analyses.reciprocal_clusters(fx.hit, fx.gene, 40).select("gene", "cluster", "set")
+    return analyses.reciprocal_clusters(fx.hit, fx.gene, 0).select("gene", "cluster", "set")
 
 
 @query()
