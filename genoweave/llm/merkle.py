@@ -3,7 +3,9 @@
 Sections are divided by blank lines, paragraphs by line ends. A paragraph's digest is the SHA-256 of its text, a
 section's that of its paragraphs' digests, the root that of the sections' digests; nothing of the text is left out, so
 roots are equal if and only if texts are. Below each paragraph hang leaves, short runs of words with 24-bit digests, by
-which two trees that differ can be compared.
+which two trees that differ can be compared. A fingerprint carries the whole tree: the root in full, of each section and
+paragraph the first 32 bits, and the leaves; so edits are located from two fingerprints alone, by descending where
+branches differ.
 """
 
 from __future__ import annotations
@@ -16,64 +18,83 @@ from genoweave.llm.common import let, words
 #: Words in a leaf; paragraphs of fewer than SHORT words have a leaf for each word.
 RUN, SHORT = 4, 16
 LEAF_MASK = 0xFFFFFF
+#: Hexadecimal digits of a branch and of a leaf in a fingerprint.
+BRANCH, LEAF = 8, 6
 
 
-def leaves(text: Column) -> Column:
-    """The leaf digests of a text, paragraph by paragraph."""
-
+def _leaves_of(paragraph: Column) -> Column:
     def of(ws: Column) -> Column:
         width = F.when(F.size(ws) < SHORT, F.lit(1)).otherwise(F.lit(RUN))
         runs = F.sequence(F.lit(0), F.floor((F.size(ws) - 1) / width).cast("int"))
         digest = lambda i: F.xxhash64(F.slice(ws, i * width + 1, width)).bitwiseAND(F.lit(LEAF_MASK)).cast("int")
         return F.when(F.size(ws) == 0, F.array().cast("array<int>")).otherwise(F.transform(runs, digest))
 
-    return F.flatten(F.transform(F.split(text, "\n"), lambda p: let(words(p), of)))
+    return let(words(paragraph), of)
 
 
-def paragraphs(text: Column) -> Column:
-    """The digests of a text's sections, each with those of its paragraphs."""
-    digests = F.transform(F.split(text, "\n\n"), lambda s: F.transform(F.split(s, "\n"), lambda p: F.sha2(p, 256)))
-    return F.transform(digests, lambda ps: F.struct(F.sha2(F.array_join(ps, ""), 256).alias("digest"), ps.alias("paragraphs")))
+def tree(text: Column) -> Column:
+    """struct(root, sections: array of struct(digest, paragraphs: array of struct(digest, leaves)))."""
+    paragraph = lambda p: F.struct(F.sha2(p, 256).alias("digest"), _leaves_of(p).alias("leaves"))
+    whole = lambda parts: F.sha2(F.array_join(F.transform(parts, lambda x: x["digest"]), ""), 256)
+    short = lambda p: F.struct(F.substr(p["digest"], F.lit(1), F.lit(BRANCH)).alias("digest"), p["leaves"].alias("leaves"))
+    section = lambda s: let(F.transform(F.split(s, "\n"), paragraph), lambda ps: F.struct(whole(ps).alias("digest"), F.transform(ps, short).alias("paragraphs")))
+    branch = lambda s: F.struct(F.substr(s["digest"], F.lit(1), F.lit(BRANCH)).alias("digest"), s["paragraphs"].alias("paragraphs"))
+    return let(F.transform(F.split(text, "\n\n"), section), lambda ss: F.struct(whole(ss).alias("root"), F.transform(ss, branch).alias("sections")))
 
 
-def tree(text: Column) -> Column:
-    """struct(root, leaves)."""
-    sections = F.transform(F.split(text, "\n\n"), lambda s: F.sha2(F.array_join(F.transform(F.split(s, "\n"), lambda p: F.sha2(p, 256)), ""), 256))
-    return F.struct(F.sha2(F.array_join(sections, ""), 256).alias("root"), leaves(text).alias("leaves"))
+def leaves(node: Column) -> Column:
+    """The leaf digests of a tree, paragraph by paragraph."""
+    return F.flatten(F.flatten(F.transform(node["sections"], lambda s: F.transform(s["paragraphs"], lambda p: p["leaves"]))))
 
 
 def fingerprint(node: Column) -> Column:
-    """A tree as text: the root, then six hexadecimal digits for each leaf."""
-    return F.concat(node["root"], F.lit(":"), F.array_join(F.transform(node["leaves"], lambda x: F.lower(F.lpad(F.hex(x), 6, "0"))), ""))
+    """A tree as text: the root, a colon, and sections divided by slashes; of a section its digest, then for each paragraph
+    a full stop, its digest and six hexadecimal digits for each leaf."""
+    digits = lambda p: F.array_join(F.transform(p["leaves"], lambda x: F.lower(F.lpad(F.hex(x), LEAF, "0"))), "")
+    paragraph = lambda p: F.concat(F.lit("."), p["digest"], digits(p))
+    section = lambda s: F.concat(s["digest"], F.array_join(F.transform(s["paragraphs"], paragraph), ""))
+    return F.concat(node["root"], F.lit(":"), F.array_join(F.transform(node["sections"], section), "/"))
 
 
 def from_fingerprint(value: Column) -> Column:
     """The tree that fingerprint() wrote."""
-    digits = F.substring_index(value, ":", -1)
-    at = F.sequence(F.lit(1), F.length(digits), F.lit(6))
-    found = F.when(digits == "", F.array().cast("array<int>")).otherwise(F.transform(at, lambda i: F.conv(F.substr(digits, i, F.lit(6)), 16, 10).cast("int")))
-    return F.struct(F.substring_index(value, ":", 1).alias("root"), found.alias("leaves"))
+
+    def paragraph(p: Column) -> Column:
+        at = F.sequence(F.lit(BRANCH + 1), F.length(p), F.lit(LEAF))
+        found = F.transform(at, lambda i: F.conv(F.substr(p, i, F.lit(LEAF)), 16, 10).cast("int"))
+        none = F.array().cast("array<int>")
+        return F.struct(F.substr(p, F.lit(1), F.lit(BRANCH)).alias("digest"), F.when(F.length(p) <= BRANCH, none).otherwise(found).alias("leaves"))
+
+    def section(s: Column) -> Column:
+        return let(F.split(s, "\\."), lambda x: F.struct(x[0].alias("digest"), F.transform(F.slice(x, F.lit(2), F.size(x) - 1), paragraph).alias("paragraphs")))
+
+    return F.struct(F.substring_index(value, ":", 1).alias("root"), F.transform(F.split(F.substring_index(value, ":", -1), "/"), section).alias("sections"))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: 1 for equal roots, else twice the shared distinct leaves over those of either."""
-    total = F.size(F.array_distinct(a["leaves"])) + F.size(F.array_distinct(b["leaves"]))
-    shared = F.size(F.array_intersect(a["leaves"], b["leaves"]))
-    return F.when(a["root"] == b["root"], F.lit(1.0)).when(total == 0, F.lit(0.0)).otherwise(2.0 * shared / total)
+    """Of two trees, 0 to 1: 1 for equal roots, else twice the shared distinct leaves over those of either."""
+
+    def of(x: Column) -> Column:
+        total = F.size(x["a"]) + F.size(x["b"])
+        return F.when(total == 0, F.lit(0.0)).otherwise(2.0 * F.size(F.array_intersect(x["a"], x["b"])) / total)
+
+    return F.when(a["root"] == b["root"], F.lit(1.0)).otherwise(let(F.struct(F.array_distinct(leaves(a)).alias("a"), F.array_distinct(leaves(b)).alias("b")), of))
 
 
-def edits(text_a: Column, text_b: Column) -> Column:
-    """Where two texts differ: array<struct<section, paragraph>> (from 0), found by descending into branches whose
-    digests differ; a branch that only one side has differs."""
+def edits(a: Column, b: Column) -> Column:
+    """Where two trees differ: array<struct<section, paragraph>> (from 0), found by descending into branches whose digests
+    differ; a branch that only one side has differs."""
 
     def below(p: Column, q: Column, s: Column) -> Column:
-        flags = F.zip_with(F.coalesce(p["paragraphs"], F.array().cast("array<string>")), F.coalesce(q["paragraphs"], F.array().cast("array<string>")), lambda x, y: x.eqNullSafe(y))
+        digests = lambda x: F.transform(F.coalesce(x["paragraphs"], F.array().cast("array<struct<digest:string,leaves:array<int>>>")), lambda y: y["digest"])
+        flags = F.zip_with(digests(p), digests(q), lambda x, y: x.eqNullSafe(y))
         spots = F.transform(flags, lambda same, i: F.when(~same, F.struct(s.alias("section"), i.alias("paragraph"))))
         return F.filter(spots, lambda x: x.isNotNull())
 
-    pairs = F.arrays_zip(paragraphs(text_a).alias("a"), paragraphs(text_b).alias("b"))
+    pairs = F.zip_with(a["sections"], b["sections"], lambda x, y: F.struct(x.alias("a"), y.alias("b")))
     found = F.transform(pairs, lambda z, s: F.when(~z["a"]["digest"].eqNullSafe(z["b"]["digest"]), below(z["a"], z["b"], s)))
-    return F.flatten(F.filter(found, lambda x: x.isNotNull()))
+    none = F.array().cast("array<struct<section:int,paragraph:int>>")
+    return F.when(a["root"] == b["root"], none).otherwise(F.flatten(F.filter(found, lambda x: x.isNotNull())))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,8 +143,7 @@ def with_next_edit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     compared = lambda t: F.struct(
         fingerprint(t["own"]).alias("fingerprint"), fingerprint(t["edited"]).alias("edited_fingerprint"),
         likeness(t["own"], t["edited"]).alias("near_edited"), likeness(t["own"], t["next"]).alias("near_next"),
+        F.size(edits(t["own"], t["edited"])).cast("long").alias("edited_paragraphs"),
     )
-    return edited.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), let(trees, compared).alias("t"),
-        let(edits(F.col("text"), F.col("edited")), lambda x: F.size(x).cast("long")).alias("edited_paragraphs"),
-    ).select("doc_id", "n_chars", "edited_sha256", "t.*", "edited_paragraphs")
+    found = edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), let(trees, compared).alias("t"))
+    return found.select("doc_id", "n_chars", "edited_sha256", "t.*")

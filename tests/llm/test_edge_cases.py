@@ -150,8 +150,52 @@ def test_fingerprint_text_holds_the_tree(spark):
 
 def test_edits_are_located(spark):
     d = spark.createDataFrame([("a\nb\n\nc\nd", "a\nb\n\nc\nX"), ("a\nb", "a\nb"), ("a", "a\nb")], "a string, b string")
-    found = [[tuple(x) for x in r[0]] for r in d.select(merkle.edits(F.col("a"), F.col("b"))).collect()]
+    found = [[tuple(x) for x in r[0]] for r in d.select(merkle.edits(merkle.tree(F.col("a")), merkle.tree(F.col("b")))).collect()]
     assert found == [[(1, 1)], [], [(0, 1)]]
+    # from two fingerprints alone
+    told = lambda c: merkle.from_fingerprint(merkle.fingerprint(merkle.tree(F.col(c))))
+    assert [[tuple(x) for x in r[0]] for r in d.select(merkle.edits(told("a"), told("b"))).collect()] == found
+
+
+def brute_tree(text):
+    """The fingerprint and the leaves of a text, in plain Python."""
+    out, every = [], []
+    sections, roots = text.split("\n\n"), []
+    for section in sections:
+        digests, told = [], ""
+        for p in section.split("\n"):
+            digests.append(hashlib.sha256(p.encode()).hexdigest())
+            ws = words(p)
+            width = 1 if len(ws) < 16 else 4
+            leaves = []
+            for i in range(0, len(ws), width):
+                h = 42
+                for w in ws[i : i + width]:
+                    h = xxhash.xxh64_intdigest(w, h)
+                leaves.append(h & 0xFFFFFF)
+            every += leaves
+            told += "." + digests[-1][:8] + "".join(f"{x:06x}" for x in leaves)
+        roots.append(hashlib.sha256("".join(digests).encode()).hexdigest())
+        out.append(roots[-1][:8] + told)
+    return hashlib.sha256("".join(roots).encode()).hexdigest() + ":" + "/".join(out), set(every)
+
+
+def brute_likeness(a, b):
+    (fa, x), (fb, y) = brute_tree(a), brute_tree(b)
+    return 1.0 if fa.split(":")[0] == fb.split(":")[0] else 2 * len(x & y) / (len(x) + len(y)) if x or y else 0.0
+
+
+def test_fingerprints_and_likeness_by_brute_force(spark, odd_docs):
+    extra = [(50, "a b\n\n\nc " + sentence(5, 30)), (51, "\n\n"), (52, "a b\n\n\nc " + sentence(5, 30) + "!"), (53, "é 𝔘\x0bx\n" + sentence(5, 30))]
+    d = odd_docs.select("doc_id", "text").filter("doc_id IS NOT NULL").unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    docs = sorted(rows_of(d), key=lambda r: (r[0], r[1] or ""))
+    expected = []
+    for i, (k, t) in enumerate(docs):
+        t, after = t or "", docs[i - 1][1] or ""
+        edited = t[: len(t) - len(t) // 3] + after[: len(t) // 3]
+        expected.append((k, brute_tree(t)[0], brute_tree(edited)[0], brute_likeness(t, edited), brute_likeness(t, after)))
+    found = merkle.with_next_edit(d, per_block=3).collect()
+    assert in_order((r["doc_id"], r["fingerprint"], r["edited_fingerprint"], pytest.approx(r["near_edited"]), pytest.approx(r["near_next"])) for r in found) == in_order(expected)
 
 
 # --- quality rules ---
