@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from genoweave.lineage import cut
 from genoweave.operators import clusters, hits, synteny
 
 GENOMES = [f"R{i}" for i in range(5)]
@@ -89,11 +90,16 @@ class Fixtures:
     def rbh(self) -> DataFrame:
         return hits.reciprocal_best(hits.best_hits(self.hit))
 
+    @cached_property
+    def kept_rbh(self) -> DataFrame:
+        """rbh computed once, for plans that read it several times."""
+        return cut(self.rbh)
+
     @cached_property
     def components(self) -> DataFrame:
         from genoweave.operators.graph import connected_components
 
-        return connected_components(self.rbh, "a", "b").toDF("gene", "cluster")
+        return connected_components(self.kept_rbh, "a", "b").toDF("gene", "cluster")
 
     @cached_property
     def cluster(self) -> DataFrame:

@@ -53,12 +53,12 @@ inp AS (SELECT DISTINCT own.gene, cluster, bit FROM own JOIN top ON member = top
 
 @query(_INPARA + "SELECT * FROM inp")
 def jn_inparalog_rbh(fx):
-    return hits.inparalog_hits(fx.hit, fx.components, hits.top_ortholog_score(fx.rbh))
+    return hits.inparalog_hits(fx.hit, fx.components, hits.top_ortholog_score(fx.kept_rbh))
 
 
 @query(_INPARA + "SELECT gene, cluster, bit FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY bit DESC, cluster) AS r FROM inp) WHERE r = 1")
 def agg_inparalog_argmax(fx):
-    return hits.inparalog_argmax(hits.inparalog_hits(fx.hit, fx.components, hits.top_ortholog_score(fx.rbh)))
+    return hits.inparalog_argmax(hits.inparalog_hits(fx.hit, fx.components, hits.top_ortholog_score(fx.kept_rbh)))
 
 
 @query("SELECT gene, cluster AS component FROM fx_cc")
@@ -164,12 +164,12 @@ def gr_omcl_graph(fx):
 
 @query()
 def gr_mcl(fx):
-    return markov.markov_clusters(fx.rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w")))
+    return markov.markov_clusters(fx.kept_rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w")))
 
 
 @query()
 def gr_mcl_backindex(fx):
-    return markov.backindex(markov.markov_clusters(fx.rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w"))), fx.gene)
+    return markov.backindex(markov.markov_clusters(fx.kept_rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w"))), fx.gene)
 
 
 @query(
@@ -178,7 +178,7 @@ m AS (SELECT i, j, w / sum(w) OVER (PARTITION BY j) AS m FROM lp), sq AS (SELECT
 SELECT i, j, floor(m * m / sum(m * m) OVER (PARTITION BY j) * 1000000 + 0.5)::BIGINT AS micro FROM sq"""
 )
 def gr_mcl_step(fx):
-    step = markov.one_step(fx.rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w")))
+    step = markov.one_step(fx.kept_rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w")))
     return step.select("i", "j", F.floor(F.col("m") * 1000000 + 0.5).cast("long").alias("micro"))
 
 
