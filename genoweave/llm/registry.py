@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from genoweave.llm import toxicity
 from genoweave.llm.common import table
+from genoweave.llm.conversation_trie import regrown_trie
 from genoweave.llm.html_text import extract_text
 from genoweave.llm.merkle import with_next_edit
 from genoweave.llm.mixing import mix_sources
 from genoweave.llm.packing import pack
+from genoweave.llm.personal_data import find_personal_data, report
 from genoweave.llm.quality_rules import SPREAD, TAILS, quality_rules
 from genoweave.llm.quotations import link_quotes
 from genoweave.llm.simhash import simhash_components
+from genoweave.llm.structure_repair import damaged, repair_report, turns
 from genoweave.llm.substring_dedup import repeats
 from genoweave.llm.token_counts import count_with_edits, sample_edits
 
@@ -63,8 +66,26 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regrown_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(find_personal_data(table(spark, sf_dir, "documents")))
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(damaged(turns(table(spark, sf_dir, "conversations"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_quality_rules, op4_html_text, op5_simhash, op6_toxicity, op7_quotation_links, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_token_counts, op2_substring_dedup, op3_quality_rules, op4_html_text, op5_simhash, op6_toxicity, op7_quotation_links, op8_mix_sources, op9_merkle_fingerprints, op10_best_fit_packing,
+            op11_conversation_trie, op12_personal_data, op13_structure_repair,
+        )
+    }
 
 
 _Q = "quantile_disc({}, {})".format
@@ -157,5 +178,29 @@ LEFT JOIN found f ON m.conv_id IS NOT DISTINCT FROM f.conv_id AND m.o = f.o
 """
 
 
+#: The CRC-32 of a decimal number, byte by byte and bit by bit.
+_CRC = "xor(list_reduce(list_concat([4294967295], list_transform(string_split({0}::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)), lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"
+
+OP11_SQL = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id AS c, list(sha256(concat(strlen(r), ':', r, x)) ORDER BY i) AS k, list(strlen(x) ORDER BY i) AS z FROM t GROUP BY conv_id),
+h AS (SELECT c, {_CRC.format("c")} % 9 AS h FROM s),
+grown AS (
+  SELECT s.c, list_concat(coalesce(b.k[1 : h], []), s.k[h + 1 :]) AS k, list_concat(coalesce(b.z[1 : h], []), s.z[h + 1 :]) AS z
+  FROM s JOIN h ON h.c = s.c LEFT JOIN s b ON b.c = s.c - s.c % 5),
+spot AS (
+  SELECT c, d, len(k) AS n, md5(array_to_string(k[1 : d], '')) AS p, CASE WHEN d > 0 THEN md5(array_to_string(k[1 : d - 1], '')) END AS up, CASE WHEN d > 0 THEN z[d] ELSE 0 END AS size
+  FROM (SELECT c, k, z, unnest(range(0, len(k) + 1)) AS d FROM grown)),
+node AS (SELECT d, p, any_value(up) AS up, min(c) AS c, count(*) AS n, any_value(size) AS size, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '') AS ends FROM spot GROUP BY d, p),
+kid AS (SELECT d - 1 AS d, up AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+under AS (
+  SELECT a.d, a.p, count(*) FILTER (kid.n IS NULL) AS leaves, sum((node.n - 1) * node.size)::BIGINT AS saved
+  FROM node JOIN spot a ON a.c = node.c AND a.d <= node.d LEFT JOIN kid ON kid.d = node.d AND kid.p = node.p GROUP BY ALL)
+SELECT node.c AS conv_id, node.d AS depth, parent.c AS parent_conv_id, node.n AS n_convs, coalesce(kid.n, 0) AS n_children, leaves AS n_leaves, saved AS saved_tokens, sha256(node.ends) AS ends_sha256
+FROM node JOIN under ON under.d = node.d AND under.p = node.p LEFT JOIN kid ON kid.d = node.d AND kid.p = node.p LEFT JOIN node parent ON parent.d = node.d - 1 AND parent.p = node.up
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quotation_links": OP7_SQL, "op2_substring_dedup": OP2_SQL, "op3_quality_rules": OP3_SQL}
+    return {"op11_conversation_trie": OP11_SQL, "op7_quotation_links": OP7_SQL, "op2_substring_dedup": OP2_SQL, "op3_quality_rules": OP3_SQL}
