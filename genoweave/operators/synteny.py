@@ -2,33 +2,11 @@
 
 from __future__ import annotations
 
-import heapq
-from dataclasses import dataclass
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-@dataclass(frozen=True)
-class ChainParams:
-    """The defaults of the chaining stage."""
-
-    gap_open: float = 0.0
-    gap_extend: float = -1.0
-    gap_length: int = 1
-    constant_match: float | None = 3.0
-    max_match: float = 50.0
-    max_evalue: float = 10.0
-    max_distance: int = 5
-    min_pairs: int = 4
-    min_score: float | None = None
-
-    def least_score(self) -> float:
-        """Half a match for each pair that a chain needs, unless set."""
-        best = self.constant_match if self.constant_match is not None else self.max_match
-        return self.min_score if self.min_score is not None else int(self.min_pairs * 0.5 * best)
+from genoweave.operators import chaining
+from genoweave.operators.chaining import ChainParams, best_chains  # noqa: F401  part of this module's interface
 
 
 def gene_positions(genes: DataFrame) -> DataFrame:
@@ -73,78 +51,9 @@ def match_scores(matches: DataFrame, p: ChainParams = ChainParams()) -> DataFram
     return matches.withColumn("score", F.least(F.lit(float(p.max_match)), F.floor(-10 * F.log10(e) + 0.5) / 10))
 
 
-def _best_chain(ms: list[int], x: np.ndarray, y: np.ndarray, score: np.ndarray, p: ChainParams) -> tuple[float, list[int]]:
-    """Score and places in ms of the best chain of the matches ms, which are in order."""
-    xs, ys = x[ms], y[ms]
-    best, back = np.empty(len(ms)), np.empty(len(ms), np.int64)
-    first = np.searchsorted(xs, xs - p.max_distance - 1, "left")
-    for i in range(len(ms)):
-        low, gain, prev = first[i], 0.0, -1
-        if low < i:
-            dx, dy = xs[i] - xs[low:i] - 1, ys[i] - ys[low:i] - 1
-            gaps = np.floor(np.maximum(dx, dy) / p.gap_length + 0.5)
-            got = best[low:i] + np.where(gaps > 0, p.gap_open, 0.0) + p.gap_extend * gaps
-            got[(dx < 0) | (dy < 0) | (dy > p.max_distance)] = 0.0
-            k = int(np.argmax(got))  # the earlier of equal ones
-            if got[k] > 0:
-                gain, prev = float(got[k]), low + k
-        best[i], back[i] = float(score[ms[i]]) + gain, prev
-    top = int(np.argmax(best))
-    chain, i = [], top
-    while i >= 0:
-        chain.append(int(i))
-        i = back[i]
-    return float(best[top]), chain[::-1]
-
-
-def best_chains(x: np.ndarray, y: np.ndarray, score: np.ndarray, p: ChainParams) -> list[tuple[float, list[int]]]:
-    """(score, matches) of the collinear chains, best first, each match in one chain at most.
-
-    A chain goes up in both coordinates with at most max_distance places between neighbours; gaps cost open and extend for
-    each gap_length. Ties go to the chain that ends earlier, then to the earlier predecessor. No chain crosses a gap of
-    more than max_distance, so what lies between such gaps is chained by itself, and only where a chain was taken off anew.
-    """
-    order = np.lexsort((y, x)).tolist()
-    rank = {m: i for i, m in enumerate(order)}
-    least, out = p.least_score(), []
-    heap: list[tuple[float, int, list[int], list[int]]] = []
-
-    def add(ms: list[int]) -> None:
-        cuts = [0, *(np.flatnonzero(np.diff(x[ms]) - 1 > p.max_distance) + 1).tolist(), len(ms)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if a < b:
-                part = ms[a:b]
-                total, chain = _best_chain(part, x, y, score, p)
-                if total >= least:
-                    heapq.heappush(heap, (-total, rank[part[chain[-1]]], part, chain))
-
-    add(order)
-    while heap:
-        total, _, part, chain = heapq.heappop(heap)
-        out.append((-total, [part[i] for i in chain]))
-        gone = set(chain)
-        add([m for i, m in enumerate(part) if i not in gone])
-    return out
-
-
 def chains(matches: DataFrame, p: ChainParams = ChainParams()) -> DataFrame:
-    """genome_a, contig_a, genome_b, contig_b, orient, chain, chain_score, n and gene_a, gene_b of every chain of each pair
-    of contigs, forward (+) and with the second contig reversed (-); groups are bounded by two contigs' genes."""
-    keys = ["genome_a", "contig_a", "genome_b", "contig_b"]
-    kinds = dict(matches.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + f", orient string, chain long, chain_score double, n long, gene_a {kinds['gene_a']}, gene_b {kinds['gene_b']}"
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["pos_a", "pos_b", "gene_a", "gene_b"]).reset_index(drop=True)
-        x, y, s = (frame[c].to_numpy() for c in ("pos_a", "pos_b", "score"))
-        rows = []
-        for orient, z in (("+", y), ("-", y.max() + 1 - y)):
-            for k, (total, members) in enumerate(best_chains(x, z, s, p)):
-                rows += [(*(frame[c].iloc[0] for c in keys), orient, k, total, n, frame["gene_a"].iloc[m], frame["gene_b"].iloc[m]) for n, m in enumerate(members)]
-        return pd.DataFrame(rows, columns=[*keys, "orient", "chain", "chain_score", "n", "gene_a", "gene_b"])
-
-    scored = matches if "score" in matches.columns else match_scores(matches, p)
-    return scored.select(*keys, "gene_a", "gene_b", "pos_a", "pos_b", "score").groupBy(*keys).applyInPandas(run, schema)
+    """The chains of matches, scored first unless they have a score; see chaining.chains."""
+    return chaining.chains(matches if "score" in matches.columns else match_scores(matches, p), p)
 
 
 CHAIN = ["genome_a", "contig_a", "genome_b", "contig_b", "orient", "chain"]
