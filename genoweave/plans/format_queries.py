@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from genoweave.operators import clusters, hits, layout, prep
 from genoweave.plans.fixtures import FX, GENOMES, Fixtures
-from genoweave.sources import formats, repository, sinks
+from genoweave.lineage import shared_folder
+from genoweave.sources import callers, files, formats, repository, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,6 +32,13 @@ def text(x: str):
     return F.lit(x)
 
 
+def written(fx, rows, order: list, extension: str, header: str | None = None) -> str:
+    """The folder, of its own below the shared one, of the files (name, value) that were written."""
+    path = f"{shared_folder(fx.spark)}/files-{uuid.uuid4().hex}"
+    files.write_lines(rows, path, "name", order, extension, header)
+    return path
+
+
 # --- repository and configuration ---
 
 
@@ -114,13 +123,21 @@ def snk_combined_gff(fx):
 
 @query("SELECT genome, count(*) AS n, sum(rend - lend)::BIGINT AS total FROM fx_gene GROUP BY genome")
 def snk_split_gff(fx):
-    read = formats.gff(_gff(fx))
-    return read.groupBy(F.col("source").alias("genome")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("stop") - F.col("start")).alias("total"))
+    path = written(fx, sinks.combined_gff(fx.gene).withColumnRenamed("genome", "name"), ["value"], "gff", "##gff-version 3")
+    read = files.read(fx.spark, "gff", path)
+    return read.groupBy("genome").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("stop") - F.col("start")).alias("total"))
 
 
 @query("SELECT contig, gene::VARCHAR AS gene, strand, concat(lend, '-', rend) AS spans FROM fx_gene")
 def src_gff(fx):
-    return formats.contig_genes(_gff(fx))
+    path = written(fx, sinks.combined_gff(fx.gene).withColumnRenamed("genome", "name"), ["value"], "gff")
+    return formats.contig_genes(files.read(fx.spark, "gff", path))
+
+
+@query("SELECT gene::VARCHAR AS gene, contig, lend AS start FROM fx_gene WHERE genome IN ('R1', 'R3')")
+def src_gff_genomes(fx):
+    path = written(fx, sinks.combined_gff(fx.gene).withColumnRenamed("genome", "name"), ["value"], "gff")
+    return files.read(fx.spark, "gff", path).filter(F.col("genome").isin("R1", "R3")).select(F.col("attributes").alias("gene"), "contig", "start")
 
 
 @query("SELECT concat('R1:', gene) AS gene_id, concat('R1;', contig) AS org_mol, (lend + rend) // 2 AS mid, CASE strand WHEN '+' THEN lend ELSE rend END AS end5, CASE strand WHEN '+' THEN rend ELSE lend END AS end3, strand AS orient FROM fx_gene WHERE genome = 'R1'")
@@ -157,7 +174,8 @@ def _records(fx):
 
 @query(_SEQ + 'SELECT id, "desc", seq FROM sq')
 def src_fasta(fx):
-    return formats.fasta_records(_records(fx)).select("id", "desc", "seq")
+    path = written(fx, sinks.fasta(_seqs(fx).drop("ord"), 20).withColumn("name", F.lit("parts")), ["value"], "fa")
+    return files.read(fx.spark, "fasta", path, splitBytes=100_000).select("id", "desc", "seq")
 
 
 @query(_SEQ + "SELECT id, length(seq) AS length FROM sq")
@@ -189,8 +207,8 @@ def src_fasta_broad(fx):
 
 @query("SELECT genome, count(*) AS n FROM fx_gene GROUP BY genome")
 def snk_split_fasta(fx):
-    written = sinks.fasta(_headed(fx)).select("genome", F.substr("value", F.lit(2)).alias("value")).withColumn("ord", F.lit(0))
-    return formats.fasta_headers(formats.fasta_records(written)).groupBy("genome").agg(F.count(F.lit(1)).alias("n"))
+    path = written(fx, sinks.fasta(_headed(fx)).withColumnRenamed("genome", "name"), ["value"], "fa")
+    return formats.fasta_headers(files.read(fx.spark, "fasta", path)).groupBy("genome").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT concat_ws(chr(9), concat('t', gene), concat('g', gene), concat('l', gene), concat(annotation, ' like')) AS value FROM fx_gene")
@@ -216,14 +234,31 @@ def src_ncbi_fasta(fx):
 # --- hits ---
 
 
-def _m8(fx):
+def _m8_files(fx):
+    name = F.concat_ws("_vs_", "genome_q", "genome_s").alias("name")
+    return written(fx, _m8(fx, name), ["value"], "m8")
+
+
+def _m8(fx, *more):
     cells = ["q", "s", (F.col("bit") % 100).cast("int"), *(F.lit(x) for x in (90, 1, 2)), F.lit(3), (F.col("bit") + 3), F.lit(5), (F.col("bit") + 5), F.concat(F.lit("e-"), "bit"), "bit"]
-    return fx.hit.select(F.concat_ws(TAB, *cells).alias("value"))
+    return fx.hit.select(*more, F.concat_ws(TAB, *cells).alias("value"))
 
 
 @query("SELECT q::VARCHAR AS query, s::VARCHAR AS subject, (bit % 100)::DOUBLE AS pident, bit + 3 AS qend, bit::DOUBLE AS bitscore, bit AS minus_log FROM fx_hit")
 def src_m8(fx):
-    return formats.m8(_m8(fx)).select("query", "subject", "pident", "qend", "bitscore", F.round(-F.log10("evalue")).cast("long").alias("minus_log"))
+    read = files.read(fx.spark, "m8", _m8_files(fx))
+    return read.select("query", "subject", "pident", "qend", "bitscore", F.round(-F.log10("evalue")).cast("long").alias("minus_log"))
+
+
+@query("SELECT q::VARCHAR AS query, s::VARCHAR AS subject, bit::DOUBLE AS bitscore FROM fx_hit WHERE genome_q = 'R0' AND genome_s = 'R1' AND bit >= 60")
+def src_m8_pair(fx):
+    read = files.read(fx.spark, "m8", _m8_files(fx)).filter("genome_a = 'R0' AND genome_b = 'R1' AND bitscore >= 60")
+    return read.select("query", "subject", "bitscore")
+
+
+@query("SELECT q::VARCHAR AS query, s::VARCHAR AS subject, bit::DOUBLE AS bitscore FROM fx_hit WHERE genome_q = 'R0'")
+def src_m8_lines(fx):
+    return formats.m8(_m8(fx, "genome_q").filter("genome_q = 'R0'")).select("query", "subject", "bitscore")
 
 
 @query("SELECT bit, bit AS minus_log FROM (SELECT DISTINCT bit FROM fx_hit)")
@@ -292,7 +327,9 @@ def _sizes(fx):
 
 @query("SELECT cluster AS cluster_id, concat('CLUSTER', cluster, '(', count(*), ' genes,', count(DISTINCT genome), ' taxa):', chr(9), string_agg(concat(gene, '(', genome, ')'), ' ' ORDER BY gene)) AS value FROM fx_cluster GROUP BY cluster")
 def snk_omcl_out(fx):
-    return sinks.markov_clusters(fx.cluster, _sizes(fx))
+    rows = sinks.markov_clusters(fx.cluster, _sizes(fx)).withColumn("name", F.lit("all_orthomcl"))
+    read = files.read(fx.spark, "lines", written(fx, rows, ["cluster_id"], "out"), extension="out")
+    return read.select(F.regexp_extract("value", "^CLUSTER(\\d+)", 1).cast("long").alias("cluster_id"), "value")
 
 
 @query("SELECT cluster, genome AS code, gene::VARCHAR AS gene, (count(*) OVER (PARTITION BY cluster))::BIGINT AS genes FROM fx_cluster")
@@ -307,6 +344,18 @@ def src_clusters_orthofinder(fx):
     return formats.wide_clusters(renamed.toDF("og", *(f"{g}_pep" for g in GENOMES)), {f"{g}_pep": g for g in GENOMES}, "og")
 
 
+@query("SELECT cluster::VARCHAR AS cluster, genome, gene::VARCHAR AS gene, caller FROM fx_cluster, (SELECT unnest(['RBH', 'OMCL', 'Orthofinder']) AS caller)")
+def src_clusters_called(fx):
+    """One schema of clusters from the files of three programs."""
+    seven = _sevens(fx).select(F.lit("rbh").alias("name"), F.concat_ws(TAB, "cluster", "set", "genome", "transcript", "gene", F.coalesce("locus", F.lit("")), "annotation").alias("value"))
+    graph = sinks.markov_clusters(fx.cluster, _sizes(fx)).select(F.lit("all_orthomcl").alias("name"), "value")
+    wide = fx.cluster.groupBy("cluster").pivot("genome", GENOMES).agg(F.array_join(F.sort_array(F.collect_list("gene")), ", "))
+    table = wide.select(F.lit("Orthogroups").alias("name"), F.concat_ws(TAB, F.concat(F.lit("OG"), "cluster"), *(F.coalesce(F.col(g), F.lit("")) for g in GENOMES)).alias("value"))
+    made = {"RBH": written(fx, seven, ["value"], "txt"), "OMCL": written(fx, graph, ["value"], "out"), "Orthofinder": written(fx, table, ["value"], "csv", TAB.join(["", *(f"{g}.pep" for g in GENOMES)]))}
+    read = [callers.read_clusters(fx.spark, k, p).select("cluster", "genome", "gene", F.lit(k).alias("caller")) for k, p in made.items()]
+    return read[0].unionByName(read[1]).unionByName(read[2])
+
+
 @query("SELECT concat_ws(chr(9), concat('uniq_', row_number() OVER (ORDER BY gene)), genome, 'Ortho', gene, gene, '', annotation) AS value FROM fx_gene WHERE gene NOT IN (SELECT gene FROM fx_cc)")
 def snk_uniques(fx):
     return sinks.uniques(clusters.numbered_uniques(clusters.uniques(fx.gene, fx.components)))
@@ -316,7 +365,10 @@ def snk_uniques(fx):
     "SELECT cluster, concat_ws(chr(9), cluster, regexp_replace(annotation, '\\W', '_', 'g'), R0, R1, R2, R3, R4) AS value FROM (SELECT cluster, annotation, row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, annotation) AS r FROM fx_cluster GROUP BY cluster, annotation) JOIN fx_matrix USING (cluster) WHERE r = 1"
 )
 def snk_matrix(fx):
-    return sinks.matrix(fx.matrix, clusters.popular_name(fx.cluster), GENOMES)
+    rows = sinks.matrix(fx.matrix, clusters.popular_name(fx.cluster), GENOMES).withColumn("name", F.lit("matrix"))
+    head = "\n".join(sinks.matrix_header(clusters.genome_totals(fx.cluster), GENOMES))
+    read = files.read(fx.spark, "lines", written(fx, rows, ["cluster"], "txt", head))
+    return read.select(formats.number(formats.field(0)).alias("cluster"), "value")
 
 
 @query("SELECT a, concat(a, ' ', string_agg(concat(b, ':', bit), ' ' ORDER BY b), ' $') AS value FROM (SELECT a, b, bit FROM fx_rbh UNION ALL SELECT b, a, bit FROM fx_rbh) GROUP BY a")
@@ -362,8 +414,9 @@ def snk_aligncoords(fx):
 
 @query("SELECT genome_a, contig_a, gene_a::VARCHAR AS gene_a, lend_a AS start_a, rend_a AS stop_a, genome_b, gene_b::VARCHAR AS gene_b, pos_a FROM fx_match")
 def src_aligncoords(fx):
-    blocks = sinks.aligncoords(_members(fx)).withColumn("b", F.monotonically_increasing_id()).select(F.col("b").cast("string").alias("file"), F.posexplode(F.split("value", "\n")).alias("ord", "value"))
-    stray = blocks.withColumn("value", F.when(F.col("ord") % 2 == 1, F.regexp_replace("value", "^(\\S+\\t\\S+\\t)", "$1desc\t")).otherwise(F.col("value")))
+    blocks = sinks.aligncoords(_members(fx)).select(F.lit("all").alias("name"), "value")
+    lines = formats.lines(fx.spark, files.paths(written(fx, blocks, ["value"], "aligncoords")))
+    stray = lines.withColumn("value", F.when((F.col("ord") % 2 == 1) & ~F.startswith("value", F.lit("##")), F.regexp_replace("value", "^(\\S+\\t\\S+\\t)", "$1desc\t")).otherwise(F.col("value")))
     return formats.aligncoords(stray).select("genome_a", "contig_a", "gene_a", "start_a", "stop_a", "genome_b", "gene_b", "pos_a")
 
 
@@ -374,8 +427,9 @@ def snk_spans(fx):
 
 @query("SELECT genome_a, contig_a, left_a, right_a, len_a, genome_b, contig_b, left_b, right_b, len_b, '+' AS orient, n_pairs, ratio_pct FROM fx_span")
 def src_spans(fx):
-    lines = sinks.spans(fx.span.withColumn("orient", F.lit("+"))).select(F.when(F.col("n_pairs") % 2 == 0, F.regexp_replace("value", "\t", "   ")).otherwise(F.col("value")).alias("value"))
-    return formats.spans(lines).withColumn("ratio_pct", F.round(F.col("ratio") * 100).cast("long")).drop("ratio")
+    spaced = F.when(F.col("n_pairs") % 2 == 0, F.regexp_replace("value", "\t", "   ")).otherwise(F.col("value"))
+    lines = sinks.spans(fx.span.withColumn("orient", F.lit("+"))).select(F.lit("all").alias("name"), spaced.alias("value"))
+    return files.read(fx.spark, "spans", written(fx, lines, ["value"], "spans")).withColumn("ratio_pct", F.round(F.col("ratio") * 100).cast("long")).drop("ratio")
 
 
 @query("SELECT genome_a AS genome FROM fx_span UNION SELECT genome_b FROM fx_span")
@@ -402,7 +456,8 @@ def src_gene_list_positions(fx):
 def src_chain_order_file(fx):
     heads = fx.genome.select(F.concat(F.lit("#"), "genome").alias("value"), (F.col("idx") * 1000).cast("long").alias("ord"))
     rest = fx.contig.join(fx.genome, "genome").select(F.col("contig").alias("value"), (F.col("idx") * 1000 + 100 - F.col("contig_idx")).cast("long").alias("ord"))
-    return formats.contig_lists(heads.unionByName(rest))
+    rows = heads.unionByName(rest).withColumn("name", F.lit("order"))
+    return formats.contig_lists(formats.lines(fx.spark, files.paths(written(fx, rows, ["ord"], "txt"))))
 
 
 @query("SELECT row_number() OVER (ORDER BY contig_a, contig_b, grp) AS ord, right_a - left_a AS width, colour FROM (SELECT *, CASE WHEN grp % 3 = 0 THEN 'red' ELSE 'azure4' END AS colour FROM fx_span)")

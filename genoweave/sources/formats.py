@@ -11,12 +11,31 @@ from genoweave.operators.ranking import global_rank
 TAB = "\t"
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """value, file and ord: the lines of text files; ord grows within a file."""
-    raw = spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("value"), F.col("_metadata.file_path").alias("file"))
+def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """value, file, split (where the piece of a file that a task reads begins) and ord: the lines of text files; ord grows
+    within a file."""
+    raw = spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"))
     return raw.withColumn("ord", F.monotonically_increasing_id())
 
 
+def carried(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """rows with the last value that is not null at or before each row of its file, by ord.
+
+    Where rows say their split, windows are as large as splits: each split's last value is carried to the splits behind it
+    by a window over the splits, a row each, and joined back. A file of any length is so the work of all who read it.
+    """
+    file = [F.col("file")] if "file" in rows.columns else []
+    split = [F.col("split")] if "split" in rows.columns else []
+    marked = rows.withColumn("_v", value)
+    own = F.last("_v", True).over(Window.partitionBy(*file, *split).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))
+    if not split:
+        return marked.withColumn(name, own).drop("_v")
+    ends = marked.groupBy(*file, "split").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("ord"))).alias("_end"))
+    before = F.last("_end", True).over(Window.partitionBy(*file).orderBy("split").rowsBetween(Window.unboundedPreceding, -1))
+    keys = ["file", "split"] if file else ["split"]
+    return marked.withColumn("_own", own).join(ends.select(*keys, before.alias("_before")), keys, "left").withColumn(name, F.coalesce("_own", "_before")).drop("_v", "_own", "_before")
+
+
 def field(i: int, value: Column | str = "value", sep: str = TAB) -> Column:
     """The i-th field from 0, null beyond the last."""
     return F.get(F.split(value, sep), F.lit(i))
@@ -38,8 +57,9 @@ def gff(rows: DataFrame) -> DataFrame:
 
 
 def contig_genes(rows: DataFrame) -> DataFrame:
-    """contig, gene, strand, spans: the intervals of a gene, "s-e" in order of place, and its strand."""
-    g = gff(rows)
+    """contig, gene, strand, spans: the intervals of a gene, "s-e" in order of place, and its strand; of lines, or of the
+    columns of gff()."""
+    g = gff(rows) if "value" in rows.columns else rows
     one = F.concat_ws("-", "start", "stop")
     return g.groupBy("contig", F.col("attributes").alias("gene")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", one.alias("s")))), lambda x: x["s"]), " ").alias("spans"), F.max_by("strand", "start").alias("strand"))
 
@@ -201,12 +221,9 @@ ALIGNED = ["genome_a", "contig_a", "gene_a", "start_a", "stop_a", "pos_a", "mark
 
 def aligncoords(rows: DataFrame) -> DataFrame:
     """block (its header's ord), both genes with their places: rows below `##` headers. A word of description that slipped
-    in before a gene's start is taken out; genes come without their genome. Per file, blocks are found by a running
-    maximum over (file)."""
+    in before a gene's start is taken out; genes come without their genome. Headers are carried over the splits of a file."""
     head = F.startswith("value", F.lit("##"))
-    keys = [F.col("file")] if "file" in rows.columns else []
-    w = Window.partitionBy(*keys).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    blocks = rows.withColumn("block", F.max(F.when(head, F.col("ord"))).over(w)).filter(~head & (F.trim("value") != ""))
+    blocks = carried(rows, F.when(head, F.col("ord")), "block").filter(~head & (F.trim("value") != ""))
     f = F.split(F.trim("value"), "\\s+")
     has = lambda a, i: F.contains(F.get(a, F.lit(i)), F.lit(":"))
     without = lambda a, i: F.concat(F.slice(a, 1, i), F.slice(a, i + 2, 100))
@@ -253,9 +270,8 @@ def gene_places(rows: DataFrame) -> DataFrame:
 
 def contig_lists(rows: DataFrame) -> DataFrame:
     """genome, contig, place of an order file: `#genome`, then a contig a line."""
-    w = Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)  # a small file
     head = F.startswith("value", F.lit("#"))
-    named = rows.filter(F.trim("value") != "").withColumn("genome", F.last(F.when(head, F.substr("value", F.lit(2))), True).over(w)).filter(~head)
+    named = carried(rows.filter(F.trim("value") != ""), F.when(head, F.substr("value", F.lit(2))), "genome").filter(~head)
     return named.select("genome", F.trim("value").alias("contig"), F.row_number().over(Window.partitionBy("genome").orderBy("ord")).cast("long").alias("place"))
 
 
