@@ -51,11 +51,19 @@ def best_hits(hits: DataFrame) -> DataFrame:
     return hits.withColumn("_r", F.rank().over(w)).filter("_r = 1").drop("_r")
 
 
+def both_ways(hits: DataFrame, value: str) -> DataFrame:
+    """a < b, genome_a, genome_b, there and back (the values): pairs that hit each other, a hit a direction. The two hits meet
+    in one aggregate, so what hits are made of is computed once."""
+    up = F.col("q") < F.col("s")
+    met = hits.filter("q <> s").groupBy(F.least("q", "s").alias("a"), F.greatest("q", "s").alias("b")).agg(
+        F.max(F.when(up, F.col("genome_q"))).alias("genome_a"), F.max(F.when(up, F.col("genome_s"))).alias("genome_b"), F.max(F.when(up, F.col(value))).alias("there"), F.max(F.when(~up, F.col(value))).alias("back"),
+    )
+    return met.filter("there IS NOT NULL AND back IS NOT NULL")
+
+
 def reciprocal_best(best: DataFrame) -> DataFrame:
     """a < b, genome_a, genome_b, bit: pairs that are each other's best hits; bit is the greater of both directions."""
-    back = best.select(F.col("q").alias("s"), F.col("s").alias("q"), F.col("bit").alias("back"))
-    both = best.join(back, ["q", "s"]).filter("q < s")
-    return both.select(F.col("q").alias("a"), F.col("s").alias("b"), F.col("genome_q").alias("genome_a"), F.col("genome_s").alias("genome_b"), F.greatest("bit", "back").alias("bit"))
+    return both_ways(best, "bit").select("a", "b", "genome_a", "genome_b", F.greatest("there", "back").alias("bit"))
 
 
 def top_ortholog_score(pairs: DataFrame) -> DataFrame:
@@ -102,10 +110,13 @@ def query_ranges(hits: DataFrame, number: str = "sim_id") -> DataFrame:
 
 
 def top_hits(hits: DataFrame, cross: int = 5, within: int = 1_000) -> DataFrame:
-    """Of each query and other genome the best `cross` subjects, of the own genome the best `within`."""
+    """Of each query and other genome the best `cross` subjects, of the own genome the best `within`.
+
+    A limit on a rank that is a plain number, as the first of the two is, lets tasks drop what is beyond it before the
+    shuffle: from a task come at most `within` subjects of a query and genome."""
     w = Window.partitionBy("q", "genome_s").orderBy(F.col("bit").desc(), "s")
-    most = F.when(F.col("genome_q") == F.col("genome_s"), within).otherwise(cross)
-    return hits.withColumn("_r", F.dense_rank().over(w)).filter(F.col("_r") <= most).drop("_r")
+    ranked = hits.withColumn("_r", F.dense_rank().over(w)).filter(F.col("_r") <= max(cross, within))
+    return ranked.filter(F.col("_r") <= F.when(F.col("genome_q") == F.col("genome_s"), within).otherwise(cross)).drop("_r")
 
 
 def tie_runs(ranked_hits: DataFrame, value: str = "bit") -> DataFrame:
@@ -132,20 +143,23 @@ def better_prefix(ranked_hits: DataFrame, value: str = "bit") -> DataFrame:
 
 def two_way(hits: DataFrame, value: str = "bit") -> DataFrame:
     """a < b, genome_a, genome_b, weight_sum: pairs that hit each other; the edge's weight is half the sum."""
-    back = hits.select(F.col("q").alias("s"), F.col("s").alias("q"), F.col(value).alias("_back"))
-    both = hits.join(back, ["q", "s"]).filter("q < s")
-    return both.select(F.col("q").alias("a"), F.col("s").alias("b"), F.col("genome_q").alias("genome_a"), F.col("genome_s").alias("genome_b"), (F.col(value) + F.col("_back")).alias("weight_sum"))
+    return both_ways(hits, value).select("a", "b", "genome_a", "genome_b", (F.col("there") + F.col("back")).alias("weight_sum"))
 
 
 def coorthologs(orthologs: DataFrame, inparalogs: DataFrame, hits: DataFrame, value: str = "bit") -> DataFrame:
-    """Edges a < b between in-paralogs of the ends of an ortholog edge, where hits go both ways and no edge is yet."""
+    """Edges a < b between in-paralogs of the ends of an ortholog edge, where hits go both ways and no edge is yet.
+
+    Only pairs with an in-paralog on one side at least are listed, from distinct (gene, ortholog of it or of its in-paralogs)
+    on; an end itself comes in by its edge. Hits are held against these pairs before any two hits meet, so of the hits no
+    more is shuffled twice than what may be an edge."""
     own = inparalogs.select(F.col("a").alias("gene"), F.col("b").alias("also")).union(inparalogs.select("b", "a"))
-    ends = orthologs.select("a").union(orthologs.select("b")).distinct().select(F.col("a").alias("gene"), F.col("a").alias("also"))
-    closure = own.union(ends)
-    left, right = closure.toDF("a", "x"), closure.toDF("b", "y")
-    pairs = orthologs.select("a", "b").join(left, "a").join(right, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    edges = orthologs.select(F.col("a").alias("gene"), F.col("b").alias("other")).union(orthologs.select("b", "a"))
+    moved = own.join(edges, "gene").select(F.col("also").alias("x"), "other").distinct()  # x is an in-paralog of an end
+    both_moved = moved.join(own.toDF("other", "y"), "other").select("x", "y")
+    pairs = moved.select("x", F.col("other").alias("y")).union(both_moved).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     fresh = pairs.join(orthologs.select("a", "b"), ["a", "b"], "left_anti")
-    return two_way(hits.filter("genome_q <> genome_s"), value).join(fresh, ["a", "b"], "left_semi")
+    near = hits.filter("genome_q <> genome_s").withColumn("a", F.least("q", "s")).withColumn("b", F.greatest("q", "s")).join(fresh, ["a", "b"], "left_semi")
+    return two_way(near.select("q", "s", "genome_q", "genome_s", value), value)
 
 
 def pair_normaliser(edges: DataFrame) -> DataFrame:
@@ -174,11 +188,18 @@ def normalised_graph(orthologs: DataFrame, coortho: DataFrame, inparalogs: DataF
     return cross.join(pair, ["x", "y"]).select("a", "b", ratio.alias("w")).unionByName(inparalogs.join(own, "genome_a").select("a", "b", ratio.alias("w")))
 
 
-def interval_coverage(hsps: DataFrame, key: list[str], start: str, stop: str) -> DataFrame:
-    """key and covered: the length of the union of closed intervals."""
-    lo, hi = F.least(start, stop), F.greatest(start, stop)
-    w = Window.partitionBy(*key).orderBy("_lo", "_hi")
-    seen = hsps.select(*key, lo.alias("_lo"), hi.alias("_hi")).withColumn("_top", F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+def interval_coverage(hsps: DataFrame, key: list[str], start: str, stop: str, wide: int = 1 << 16) -> DataFrame:
+    """key and covered: the length of the union of closed intervals.
+
+    Intervals are cut at the edges of blocks of `wide` places. Of each block the union is found by itself (one row a place
+    that an interval begins at, with its farthest end), and unions of blocks, which do not overlap, add up. So a key with
+    any number of intervals is the work of as many tasks as it has blocks, and equal starts meet before the shuffle."""
+    lo, hi = F.least(start, stop).cast("long"), F.greatest(start, stop).cast("long")
+    at = lambda x: F.floor(x / wide).cast("long")
+    cut_up = hsps.select(*key, lo.alias("_lo"), hi.alias("_hi")).withColumn("_block", F.explode(F.sequence(at(F.col("_lo")), at(F.col("_hi")))))
+    ends = cut_up.groupBy(*key, "_block", F.greatest("_lo", F.col("_block") * wide).alias("_lo")).agg(F.max(F.least("_hi", (F.col("_block") + 1) * wide - 1)).alias("_hi"))
+    w = Window.partitionBy(*key, "_block").orderBy("_lo")
+    seen = ends.withColumn("_top", F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
     fresh = F.greatest(F.lit(0), F.col("_hi") - F.greatest(F.col("_lo") - 1, F.coalesce("_top", F.col("_lo") - 1)))
     return seen.groupBy(*key).agg(F.sum(fresh).cast("long").alias("covered"))
 

@@ -66,14 +66,15 @@ def enough_pairs(chained: DataFrame, least: int = 4) -> DataFrame:
 
 
 def without_tandem_overlap(chained: DataFrame, places: DataFrame) -> DataFrame:
-    """On one molecule against itself, chains in which a gene repeats or the two extents overlap go."""
+    """On one molecule against itself, chains in which a gene repeats or the two extents overlap go. Both are aggregates that
+    begin before the shuffle; a chain's genes are never gathered."""
     g = places.select("gene", "lend", "rend")
-    ends = chained.join(g.toDF("gene_a", "la", "ra"), "gene_a").join(g.toDF("gene_b", "lb", "rb"), "gene_b")
-    bad = ends.filter("genome_a = genome_b AND contig_a = contig_b").groupBy(*CHAIN).agg(
-        F.min("la").alias("la"), F.max("ra").alias("ra"), F.min("lb").alias("lb"), F.max("rb").alias("rb"), F.count(F.lit(1)).alias("k"),
-        F.size(F.array_distinct(F.flatten(F.collect_list(F.array("gene_a", "gene_b"))))).alias("distinct"),
-    ).filter("distinct < 2 * k OR (la <= rb AND lb <= ra)")
-    return chained.join(bad.select(*CHAIN), CHAIN, "left_anti")
+    same = chained.filter("genome_a = genome_b AND contig_a = contig_b")
+    ends = same.join(g.toDF("gene_a", "la", "ra"), "gene_a").join(g.toDF("gene_b", "lb", "rb"), "gene_b")
+    crossed = ends.groupBy(*CHAIN).agg(F.min("la").alias("la"), F.max("ra").alias("ra"), F.min("lb").alias("lb"), F.max("rb").alias("rb")).filter("la <= rb AND lb <= ra")
+    twice = ends.select(*CHAIN, F.explode(F.array("gene_a", "gene_b")).alias("gene")).groupBy(*CHAIN, "gene").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    known = chained.join(g.select(F.col("gene").alias("gene_a")), "gene_a", "left_semi").join(g.select(F.col("gene").alias("gene_b")), "gene_b", "left_semi")
+    return known.join(crossed.select(*CHAIN).unionByName(twice.select(*CHAIN)).distinct(), CHAIN, "left_anti").select(*chained.columns)
 
 
 def without_local_inversions(chained: DataFrame, header: str = "header") -> DataFrame:
@@ -101,8 +102,9 @@ def symmetric(pairs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def last_wins(rows: DataFrame, keys: list[str], order: str = "ord") -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """Of each key the row with the greatest order; rows meet before the shuffle."""
+    rest = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(*keys, "_r.*").select(*rows.columns)
 
 
 def contig_order(span_rows: DataFrame, order_a: DataFrame, order_b: DataFrame) -> DataFrame:
@@ -120,12 +122,24 @@ def contig_order(span_rows: DataFrame, order_a: DataFrame, order_b: DataFrame) -
 
 
 def genes_in_spans(pairs: DataFrame, highlight: DataFrame) -> DataFrame:
-    """Pairs whose starts lie in a highlighted span on both axes; an equi-join of genomes and contigs with the interval as
-    its residual."""
+    """Pairs whose starts lie in a highlighted span on both axes.
+
+    The first axis is divided in bins as wide as the mean span, so spans, each copied to the bins that it reaches, are three
+    times as many rows at most; a pair is in one bin. Contigs and bin are the keys of the join, so a contig pair with many
+    spans and genes is the work of many tasks, and a pair meets the spans near it alone."""
     keys = ["genome_a", "genome_b", "contig_a", "contig_b"]
-    h = highlight.select(*keys, "left_a", "right_a", "left_b", "right_b")
-    inside = pairs.join(h, keys).filter("start_a BETWEEN left_a AND right_a AND start_b BETWEEN left_b AND right_b")
-    return inside.select(*pairs.columns).distinct()
+    h = highlight.select(*keys, "left_a", "right_a", "left_b", "right_b").filter("left_a <= right_a AND left_b <= right_b")
+    width = h.agg(F.greatest(F.lit(1), F.coalesce(F.avg(F.col("right_a") - F.col("left_a") + 1), F.lit(1)).cast("long")).alias("_w"))
+    at = lambda c: F.floor(F.col(c) / F.col("_w")).cast("long")
+    copies = h.join(F.broadcast(width)).withColumn("_bin", F.explode(F.sequence(at("left_a"), at("right_a")))).drop("_w")  # one row
+    binned = pairs.join(F.broadcast(width)).withColumn("_bin", at("start_a")).alias("p")
+    h = copies.alias("h")
+    near = [F.col(f"p.{k}") == F.col(f"h.{k}") for k in (*keys, "_bin")]
+    inside = F.col("p.start_a").between(F.col("h.left_a"), F.col("h.right_a")) & F.col("p.start_b").between(F.col("h.left_b"), F.col("h.right_b"))
+    on = inside
+    for k in near:
+        on = on & k
+    return binned.join(h, on, "left_semi").select(*(f"p.{c}" for c in pairs.columns)).distinct()
 
 
 def exact_highlight(span_rows: DataFrame, highlight: DataFrame) -> DataFrame:

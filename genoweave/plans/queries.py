@@ -11,7 +11,7 @@ from genoweave.operators import clusters, hits, layout, markov, prep, synteny
 from genoweave.operators.graph import connected_components
 from genoweave.operators.ranking import global_rank
 from genoweave.plans import analyses, control
-from genoweave.plans.fixtures import FX, GENOMES, LEAST_BIT, Fixtures
+from genoweave.plans.fixtures import FX, GENOMES, Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,15 +82,15 @@ def win_topk_hits(fx):
     return hits.top_hits(fx.hit).select("q", "s", "bit")
 
 
-_RANKED = ", rk AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY bit DESC, s) AS hit_rank FROM fx_hit), tr AS (SELECT *, sum(f) OVER (PARTITION BY q ORDER BY hit_rank) AS run FROM (SELECT *, CASE WHEN bit = lag(bit) OVER (PARTITION BY q ORDER BY hit_rank) THEN 0 ELSE 1 END AS f FROM rk)) "
+_RANKED = ", rk AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY q ORDER BY bit DESC, s) AS hit_rank FROM fx_hit), tr AS MATERIALIZED (SELECT *, sum(f) OVER (PARTITION BY q ORDER BY hit_rank) AS run FROM (SELECT *, CASE WHEN bit = lag(bit) OVER (PARTITION BY q ORDER BY hit_rank) THEN 0 ELSE 1 END AS f FROM rk)) "
 _EDGES = (
     _RANKED
-    + """, best AS (SELECT * FROM (SELECT *, bit = first_value(bit) OVER (PARTITION BY q, genome_s ORDER BY hit_rank) AS same FROM rk WHERE genome_q <> genome_s) WHERE same),
-bett AS (SELECT * FROM (SELECT *, max(CASE WHEN genome_q <> genome_s THEN 1 ELSE 0 END) OVER (PARTITION BY q ORDER BY run, CASE WHEN genome_q <> genome_s THEN 1 ELSE 0 END, hit_rank) AS stop FROM tr) WHERE stop = 0),
-ortho AS (SELECT x.q AS a, x.s AS b, x.genome_q AS genome_a, x.genome_s AS genome_b, x.bit + y.bit AS weight_sum FROM best x JOIN best y ON x.q = y.s AND x.s = y.q WHERE x.q < x.s),
-inpara AS (SELECT x.q AS a, x.s AS b, x.genome_q AS genome_a, x.genome_s AS genome_b, x.bit + y.bit AS weight_sum FROM bett x JOIN bett y ON x.q = y.s AND x.s = y.q WHERE x.q < x.s),
-clo AS (SELECT a AS g, b AS o FROM inpara UNION SELECT b, a FROM inpara UNION SELECT a, a FROM ortho UNION SELECT b, b FROM ortho),
-cand AS (SELECT DISTINCT least(c.o, d.o) AS a, greatest(c.o, d.o) AS b FROM ortho e JOIN clo c ON e.a = c.g JOIN clo d ON e.b = d.g),
+    + """, best AS MATERIALIZED (SELECT * FROM (SELECT *, bit = first_value(bit) OVER (PARTITION BY q, genome_s ORDER BY hit_rank) AS same FROM rk WHERE genome_q <> genome_s) WHERE same),
+bett AS MATERIALIZED (SELECT * FROM (SELECT *, max(CASE WHEN genome_q <> genome_s THEN 1 ELSE 0 END) OVER (PARTITION BY q ORDER BY run, CASE WHEN genome_q <> genome_s THEN 1 ELSE 0 END, hit_rank) AS stop FROM tr) WHERE stop = 0),
+ortho AS MATERIALIZED (SELECT x.q AS a, x.s AS b, x.genome_q AS genome_a, x.genome_s AS genome_b, x.bit + y.bit AS weight_sum FROM best x JOIN best y ON x.q = y.s AND x.s = y.q WHERE x.q < x.s),
+inpara AS MATERIALIZED (SELECT x.q AS a, x.s AS b, x.genome_q AS genome_a, x.genome_s AS genome_b, x.bit + y.bit AS weight_sum FROM bett x JOIN bett y ON x.q = y.s AND x.s = y.q WHERE x.q < x.s),
+clo AS MATERIALIZED (SELECT a AS g, b AS o FROM inpara UNION SELECT b, a FROM inpara UNION SELECT a, a FROM ortho UNION SELECT b, b FROM ortho),
+cand AS MATERIALIZED (SELECT DISTINCT least(c.o, d.o) AS a, greatest(c.o, d.o) AS b FROM ortho e JOIN clo c ON e.a = c.g JOIN clo d ON e.b = d.g),
 co AS (SELECT x.q AS a, x.s AS b, x.genome_q AS genome_a, x.genome_s AS genome_b, x.bit + y.bit AS weight_sum FROM fx_hit x JOIN fx_hit y ON x.q = y.s AND x.s = y.q JOIN cand ON cand.a = x.q AND cand.b = x.s
   WHERE x.q < x.s AND x.genome_q <> x.genome_s AND NOT EXISTS (SELECT 1 FROM ortho o WHERE o.a = x.q AND o.b = x.s)),
 pairn AS (SELECT least(genome_a, genome_b) AS genome_a, greatest(genome_a, genome_b) AS genome_b, sum(weight_sum)::BIGINT AS weight_sum, count(*) AS edges FROM (SELECT * FROM ortho UNION ALL SELECT * FROM co) GROUP BY 1, 2),
@@ -164,21 +164,21 @@ def gr_omcl_graph(fx):
 
 @query()
 def gr_mcl(fx):
-    return markov.markov_clusters(fx.kept_rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w")))
+    return markov.markov_clusters(fx.kept_rbh.select("a", "b", F.col("bit").alias("w")))
 
 
 @query()
 def gr_mcl_backindex(fx):
-    return markov.backindex(markov.markov_clusters(fx.kept_rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w"))), fx.gene)
+    return markov.backindex(markov.markov_clusters(fx.kept_rbh.select("a", "b", F.col("bit").alias("w"))), fx.gene)
 
 
 @query(
-    """, e AS (SELECT a, b, bit AS w FROM fx_rbh WHERE bit >= 75), both2 AS (SELECT a AS i, b AS j, w::DOUBLE AS w FROM e UNION ALL SELECT b, a, w FROM e), lp AS (SELECT * FROM both2 UNION ALL SELECT j, j, max(w) FROM both2 GROUP BY j),
+    """, e AS (SELECT a, b, bit AS w FROM fx_rbh), both2 AS (SELECT a AS i, b AS j, w::DOUBLE AS w FROM e UNION ALL SELECT b, a, w FROM e), lp AS (SELECT * FROM both2 UNION ALL SELECT j, j, max(w) FROM both2 GROUP BY j),
 m AS (SELECT i, j, w / sum(w) OVER (PARTITION BY j) AS m FROM lp), sq AS (SELECT x.i, y.j, sum(x.m * y.m) AS m FROM m x JOIN m y ON x.j = y.i GROUP BY ALL)
 SELECT i, j, floor(m * m / sum(m * m) OVER (PARTITION BY j) * 1000000 + 0.5)::BIGINT AS micro FROM sq"""
 )
 def gr_mcl_step(fx):
-    step = markov.one_step(fx.kept_rbh.filter(F.col("bit") >= LEAST_BIT).select("a", "b", F.col("bit").alias("w")))
+    step = markov.one_step(fx.kept_rbh.select("a", "b", F.col("bit").alias("w")))
     return step.select("i", "j", F.floor(F.col("m") * 1000000 + 0.5).cast("long").alias("micro"))
 
 
@@ -252,7 +252,8 @@ def jn_genome_cross(fx):
 
 @query("SELECT a.q, a.s, b.bit FROM fx_best a JOIN fx_hit b ON a.q = b.q AND a.s = b.s")
 def jn_hit_lookup(fx):
-    return hits.best_hits(fx.hit).select("q", "s").join(hits.first_of_pair(fx.hit, "bit").select("q", "s", "bit"), ["q", "s"])
+    best = hits.best_hits(fx.hit).select("q", "s")
+    return hits.first_of_pair(fx.hit.join(best, ["q", "s"], "left_semi"), "bit").select("q", "s", "bit")
 
 
 @query("SELECT a.genome AS genome_a, b.genome AS genome_b FROM fx_genome a, fx_genome b WHERE a.genome <> b.genome")
