@@ -93,7 +93,7 @@ def test_markov_splits_what_single_linkage_joins(spark):
     edges = spark.createDataFrame(clique([1, 2, 3, 4]) + clique([5, 6, 7, 8]) + [(4, 5, 0.5)], "a long, b long, w double")
     assert {c for _, c in rows(connected_components(edges, "a", "b"))} == {1}
     assert rows(markov.markov_clusters(edges)) == [(g, 1 if g < 5 else 5) for g in range(1, 9)]
-    assert {c for _, c in rows(markov.markov_clusters(edges, 3.0, task_nodes=2))} <= {1, 5}
+    assert {c for _, c in rows(markov.markov_clusters(edges, task_nodes=2))} <= {1, 5}
 
 
 def test_markov_columns_sum_to_one(spark):
