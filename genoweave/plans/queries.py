@@ -596,13 +596,13 @@ def ddp_last_wins(fx):
     return synteny.last_wins(fx.gene, ["family"], "gene").select("family", "gene")
 
 
-_ORDER = """, s AS (SELECT contig_b, contig_a, sum(len_a) AS aligned, min(left_a) AS start, any_value(contig_idx) AS ia FROM fx_span JOIN fx_contig ON genome = genome_a AND contig = contig_a WHERE genome_a = 'R0' AND genome_b = 'R1' AND contig_b <> 'N2' GROUP BY ALL),
+_ORDER = """, s AS (SELECT contig_b, contig_a, sum(len_a) AS aligned, min(left_a) AS start, any_value(contig_idx) AS ia FROM fx_span JOIN fx_contig ON genome = genome_a AND contig = contig_a WHERE genome_a = 'R0' AND genome_b = 'R1' AND contig_b <> 'N6' GROUP BY ALL),
 top AS (SELECT contig_b AS contig, 0 AS late, ia AS k1, start AS k2 FROM (SELECT *, row_number() OVER (PARTITION BY contig_b ORDER BY aligned DESC, ia) AS r FROM s) WHERE r = 1),
 every AS (SELECT * FROM top UNION ALL SELECT contig, 1, contig_idx, 0 FROM fx_contig WHERE genome = 'R1' AND contig NOT IN (SELECT contig FROM top)) """
 
 
 def _contig_order(fx):
-    spans = fx.span.filter("genome_a = 'R0' AND genome_b = 'R1' AND contig_b <> 'N2'")
+    spans = fx.span.filter("genome_a = 'R0' AND genome_b = 'R1' AND contig_b <> 'N6'")
     of = lambda g: fx.contig.filter(F.col("genome") == g).select("contig", F.col("contig_idx").alias("idx"))
     return synteny.contig_order(spans, of("R0"), of("R1"))
 
@@ -614,7 +614,7 @@ def win_contig_order(fx):
 
 @query(_ORDER + "SELECT contig FROM every WHERE late = 1")
 def set_unplaced_contigs(fx):
-    placed = fx.span.filter("genome_a = 'R0' AND genome_b = 'R1' AND contig_b <> 'N2'").select(F.col("contig_b").alias("contig"))
+    placed = fx.span.filter("genome_a = 'R0' AND genome_b = 'R1' AND contig_b <> 'N6'").select(F.col("contig_b").alias("contig"))
     return fx.contig.filter("genome = 'R1'").join(placed, "contig", "left_anti").select("contig")
 
 
