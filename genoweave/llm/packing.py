@@ -2,19 +2,23 @@
 
 Pieces of equal length are interchangeable, so the plan is made on their histogram, which has at most one row for each
 length up to the capacity, whatever the input's size: bin completion by branch and bound. A node fills the sequence of
-the longest remaining piece; its branches are the undominated fillings, least waste first, each used as often as its
-counts allow. A branch is cut when the waste so far cannot lead below the best solution found (at first the best-fit
-decreasing one), and the search ends when that meets the lower bound or after a stated number of nodes. Pieces then take
-the plan's places by their rank among the pieces of their length.
+the longest remaining piece; its branches are all undominated fillings, enumerated lazily, least waste first. A branch is cut
+when the waste so far cannot lead below the best solution found (at first the best-fit decreasing one), and the search
+ends at the lower bound or after a stated amount of work, first over all pieces, then over choices of the incumbent's
+sequences. What the work did not settle is logged: sequences and lower bound. Pieces then take the plan's places by
+their rank among the pieces of their length.
 """
 
 from __future__ import annotations
 
+import logging
+import random
 import unicodedata
 import zlib
 from array import array
-from bisect import bisect_right
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 
 from genoweave.llm.common import cut
 
+LOG = logging.getLogger(__name__)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -33,8 +38,8 @@ class PackParams:
     end_id: int = 1
     tokenizer: str = ""  # path of the vocabulary file; empty: the public word_bpe_49k.json
     cache_words: int = 400_000  # words of each of the two generations whose ids a worker keeps
-    branches: int = 4  # fillings tried at a node
-    nodes: int = 20_000  # of the search
+    work: int = 4_000_000  # steps of the search: lengths looked at and fillings tried
+    part: int = 40_000  # steps spent on one choice of sequences
     per_bucket: int = 20_000  # pieces
 
     def path(self) -> str:
@@ -132,20 +137,30 @@ Filling = tuple[tuple[int, int], ...]  # (length, times), longest first
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """Sequences that any packing needs: by volume, and by the pieces too long to share (for every threshold)."""
-    volume = sum(n * x for x, n in counts.items())
-    best = -(-volume // capacity)
+    """Sequences that any packing needs: by volume; by the pieces too long to share, for every threshold; and by dual
+    feasible functions, which round lengths to k-ths of a sequence so that what fits still weighs at most one."""
     lengths = np.array(sorted(counts), np.int64)
     n = np.array([counts[int(x)] for x in lengths], np.int64)
-    mass, number = np.concatenate([[0], np.cumsum(lengths * n)]), np.concatenate([[0], np.cumsum(n)])
-    at = lambda x: int(np.searchsorted(lengths, x, "right"))
-    for k in {int(x) for x in lengths if 2 * x <= capacity}:
-        alone, half, low = at(capacity - k), at(capacity // 2), at(k - 1)
-        apart = int(number[-1] - number[alone])
-        paired = int(number[alone] - number[half])
-        room = paired * capacity - int(mass[alone] - mass[half])
-        best = max(best, apart + paired + max(0, -(-(int(mass[half] - mass[low]) - room) // capacity)))
-    return best
+    small = np.unique(np.concatenate([[0], lengths[2 * lengths <= capacity]]))  # thresholds; shorter pieces weigh nothing
+    low, high = np.searchsorted(lengths, small, "left"), np.searchsorted(lengths, capacity - small, "right")
+    number, best = np.concatenate([[0], np.cumsum(n)]), 0
+    for k in range(1, 65):
+        parts = (k + 1) * lengths
+        weight = np.concatenate([[0], np.cumsum(n * np.where(parts % capacity, parts // capacity * capacity, k * lengths))])
+        whole = weight[high] - weight[low] + (number[-1] - number[high]) * k * capacity
+        best = max(best, int(-(-whole.max() // (k * capacity))))
+    mass = np.concatenate([[0], np.cumsum(lengths * n)])
+    half = int(np.searchsorted(lengths, capacity // 2, "right"))
+    apart, paired = number[-1] - number[high], number[high] - number[half]
+    rest = mass[half] - mass[low] - (paired * capacity - (mass[high] - mass[half]))
+    return max(best, int((apart + paired + np.maximum(0, -(-rest // capacity))).max()))
+
+
+class Work:
+    """Steps that the search may still take."""
+
+    def __init__(self, left: int):
+        self.left = left
 
 
 class Stock:
@@ -155,9 +170,9 @@ class Stock:
         self.counts = dict(counts)
         self.lengths = sorted(self.counts)
 
-    def take(self, filling: Filling) -> int:
-        """Uses a filling as often as the counts allow; how often that was."""
-        times = min(self.counts[x] // k for x, k in filling)
+    def take(self, filling: Filling, times: int = 0) -> int:
+        """Uses a filling so often, or as often as the counts allow; how often that was."""
+        times = times or min(self.counts[x] // k for x, k in filling)
         for x, k in filling:
             self.counts[x] -= k * times
             if not self.counts[x]:
@@ -165,10 +180,11 @@ class Stock:
                 self.lengths.pop(bisect_right(self.lengths, x) - 1)
         return times
 
-    def copy(self) -> Stock:
-        other = Stock.__new__(Stock)
-        other.counts, other.lengths = dict(self.counts), list(self.lengths)
-        return other
+    def put(self, filling: Filling, times: int) -> None:
+        for x, k in filling:
+            if x not in self.counts:
+                insort(self.lengths, x)
+            self.counts[x] = self.counts.get(x, 0) + k * times
 
 
 def best_fit(stock: Stock, room: int, used: dict[int, int]) -> dict[int, int]:
@@ -185,106 +201,226 @@ def best_fit(stock: Stock, room: int, used: dict[int, int]) -> dict[int, int]:
     return used
 
 
-def fillings(stock: Stock, capacity: int, most: int) -> list[tuple[int, Filling]]:
-    """(waste, filling) around the longest piece: undominated ones, least waste first.
+def _with(longest: int, others: Filling) -> Filling:
+    if others and others[0][0] == longest:
+        return ((longest, others[0][1] + 1), *others[1:])
+    return ((longest, 1), *others)
 
-    Candidates hold one more piece, two more, or three more (the last of each the longest that fits) and are completed
-    by best fit. A single piece that fills the room dominates all else; of two fillings with as many pieces the one
-    whose pieces are each as long or longer dominates.
+
+def fillings(stock: Stock, capacity: int, most_waste: int, work: Work) -> Iterator[tuple[int, Filling]]:
+    """(waste, filling) around the longest piece, lazily: all undominated ones of at most most_waste, least waste first.
+
+    A piece that fills the room alone dominates all else. Otherwise the sums that can be made are found for every prefix
+    of the lengths by bounded subset sums (bit sets), so the enumeration meets no dead end. A filling is dominated where
+    a piece left over could replace one of its pieces, or two, and leave no more room.
     """
     longest = stock.lengths[-1]
     room = capacity - longest
-    own = {longest: 1}
-    found: dict[Filling, int] = {}
-
-    def add(extra: list[int]) -> int:
-        used = dict(own)
-        for x in extra:
-            used[x] = used.get(x, 0) + 1
-            if used[x] > stock.counts[x]:
-                return room
-        used = best_fit(stock, room - sum(extra), used)
-        waste = capacity - sum(x * n for x, n in used.items())
-        found[tuple(sorted(used.items(), reverse=True))] = waste
-        return waste
-
-    lengths = np.array(stock.lengths[: bisect_right(stock.lengths, room)], np.int64)
-    if not len(lengths):
-        return [(room, ((longest, 1),))]
-    add([])
-    if add([int(lengths[-1])]) == 0 and lengths[-1] == room:
-        return [(0, next(f for f, w in found.items() if not w))]
-
-    def pairs(rest: int, head: list[int]) -> bool:
-        """Tries head and the pairs that leave least of rest; whether one leaves nothing."""
-        firsts = lengths[lengths <= rest]
-        if not len(firsts):
-            return False
-        at = np.searchsorted(lengths, rest - firsts, "right") - 1
-        left = np.where(at >= 0, rest - firsts - lengths[np.maximum(at, 0)], rest - firsts)
-        for i in np.argsort(left, kind="stable")[: 2 * most]:
-            extra = [*head, int(firsts[i]), *([int(lengths[at[i]])] if at[i] >= 0 else [])]
-            if add(extra) == 0 and len(found) >= most:
+    lengths = stock.lengths[: bisect_right(stock.lengths, room)]
+    have = stock.counts if longest > room else stock.counts | {longest: stock.counts[longest] - 1}
+    if lengths and not have[lengths[-1]]:
+        lengths.pop()
+    if not lengths:
+        if room <= most_waste:
+            yield room, ((longest, 1),)
+        return
+    if lengths[-1] == room:
+        yield 0, _with(longest, ((room, 1),))
+        return
+    first: Filling = ()
+    for x in reversed(lengths):  # the exact pair of most unlike pieces needs no bit sets
+        y = room - x
+        if y > x:
+            break
+        if have.get(y, 0) > (x == y):
+            first = ((x, 2),) if x == y else ((x, 1), (y, 1))
+            yield 0, _with(longest, first)
+            break
+    full = (1 << (room + 1)) - 1
+    reach = [1]
+    for x in lengths:
+        sums, n, step = reach[-1], min(have[x], room // x), 1
+        while n > 0:
+            sums |= (sums << (min(step, n) * x)) & full
+            n, step = n - step, 2 * step
+        reach.append(sums)
+    work.left -= len(lengths)
+
+    def exactly(t: int, j: int) -> Iterator[Filling]:
+        if not t:
+            yield ()
+            return
+        for i in range(min(j, bisect_right(lengths, t)), 0, -1):
+            if work.left <= 0 or not reach[i] >> t & 1:
+                return
+            work.left -= 1
+            x = lengths[i - 1]
+            for k in range(min(have[x], t // x), 0, -1):
+                if reach[i - 1] >> (t - k * x) & 1:
+                    for rest in exactly(t - k * x, i - 1):
+                        yield ((x, k), *rest)
+
+    def between(low: int, high: int, used: dict[int, int]) -> bool:
+        """Whether a piece of such a length is left over."""
+        at = bisect_left(lengths, low)
+        while at < len(lengths) and lengths[at] <= high:
+            if have[lengths[at]] > used.get(lengths[at], 0):
                 return True
-        return min(found.values(), default=room) == 0
+            at += 1
+        return False
+
+    def dominated(filling: Filling, waste: int) -> bool:
+        used = dict(filling)
+        if waste and any(between(x + 1, x + waste, used) for x, _ in filling):
+            return True
+        return any(between(x + y, x + y + waste, used) for a, (x, n) in enumerate(filling) for y, _ in filling[a + (n == 1) :])
+
+    for waste in range(min(room, most_waste) + 1):
+        if reach[-1] >> (room - waste) & 1:
+            for filling in exactly(room - waste, len(lengths)):
+                if filling and filling != first and not dominated(filling, waste):
+                    yield waste, _with(longest, filling)
+        if work.left <= 0:
+            return
+
 
-    if not pairs(room, []):
-        for x in lengths[::-1][:: max(1, len(lengths) // 64)]:
-            if pairs(room - int(x), [int(x)]):
+Plan = list[tuple[int, Filling]]
+
+
+def best_fit_decreasing(counts: dict[int, int], capacity: int) -> Plan:
+    stock, out = Stock(counts), []
+    while stock.lengths:
+        longest = stock.lengths[-1]
+        filling = tuple(sorted(best_fit(stock, capacity - longest, {longest: 1}).items(), reverse=True))
+        out.append((stock.take(filling), filling))
+    return out
+
+
+def least_waste(counts: dict[int, int], capacity: int, work: Work, skip: Callable[[], bool] = lambda: False) -> Plan | None:
+    """The first descent of the search: each sequence gets the first filling, or a later one where skip says so. None if
+    the work is spent on the way."""
+    stock, out = Stock(counts), []
+    while stock.lengths:
+        chosen = None
+        for _, filling in fillings(stock, capacity, capacity, work):
+            chosen = filling
+            if not skip():
                 break
-    ordered = sorted(((w, f) for f, w in found.items()), key=lambda p: (p[0], sum(n for _, n in p[1]), tuple((-x, -n) for x, n in p[1])))
-    kept: list[tuple[int, Filling]] = []
-    flat = lambda f: [x for x, n in f for _ in range(n)]
-    for waste, filling in ordered:
-        mine = flat(filling)
-        if not any(len(flat(g)) == len(mine) and all(a >= b for a, b in zip(flat(g), mine, strict=True)) for _, g in kept):
-            kept.append((waste, filling))
-        if len(kept) == most:
-            break
-    return kept
+        if chosen is None:
+            return None
+        out.append((stock.take(chosen), chosen))
+        work.left -= 1
+    return out
+
+
+def branch_and_bound(counts: dict[int, int], capacity: int, most: int, work: Work) -> Plan | None:
+    """A packing into at most so many sequences, or None if there is none or the work is spent. Depth first; every open
+    node keeps its own enumeration of fillings, so none is lost. A node may waste what the bound leaves of all waste; stocks
+    that failed are not tried again with as many sequences used."""
+    slack = most * capacity - sum(x * n for x, n in counts.items())
+    if slack < 0:
+        return None
+    stock, path, failed = Stock(counts), [], {}
+    open_nodes = [(fillings(stock, capacity, slack, work), slack)]
+    while open_nodes and work.left > 0:
+        branches, slack = open_nodes[-1]
+        step = next(branches, None)
+        if step is None:
+            open_nodes.pop()
+            if path:
+                stock.put(path.pop(), 1)
+            continue
+        waste, filling = step
+        stock.take(filling, 1)
+        path.append(filling)
+        work.left -= 1
+        if not stock.lengths:
+            return [(1, f) for f in path]
+        state = hash(frozenset(stock.counts.items()))
+        if failed.get(state, capacity * most) <= len(path):
+            stock.put(path.pop(), 1)
+            continue
+        failed[state] = len(path)
+        open_nodes.append((fillings(stock, capacity, slack - waste, work), slack - waste))
+    return None
+
+
+def _counts_of(planned: Plan) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for times, filling in planned:
+        for x, k in filling:
+            out[x] = out.get(x, 0) + k * times
+    return out
+
+
+def _waste(filling: Filling, capacity: int) -> int:
+    return capacity - sum(x * k for x, k in filling)
+
 
+def sequences(planned: Plan) -> int:
+    return sum(times for times, _ in planned)
 
-def plan(counts: dict[int, int], params: PackParams = PackParams()) -> list[tuple[int, Filling]]:
-    """(times, filling) that use every piece, in as few sequences as the search finds."""
+
+def plan(counts: dict[int, int], params: PackParams = PackParams()) -> Plan:
+    """(times, filling) that use every piece, in as few sequences as the search finds within its work.
+
+    Incumbents are best fit decreasing and the first descent. If they miss the lower bound, the whole is searched for a
+    packing with one sequence fewer; then, again and again, some sequences of the incumbent, wasteful ones first, are
+    searched for a packing of theirs with one fewer. Where there is none, another packing of them, as good by the squares of
+    its fills, may take their place, so that waste gathers. All ends at the lower bound or when the work is spent.
+    """
     capacity = params.capacity
     if not counts:
         return []
-    least = lower_bound(counts, capacity)
-    volume = sum(n * x for x, n in counts.items())
-    stock, best = Stock(counts), []
-    while stock.lengths:  # the first incumbent: best fit decreasing
-        longest = stock.lengths[-1]
-        filling = tuple(sorted(best_fit(stock, capacity - longest, {longest: 1}).items(), reverse=True))
-        best.append((stock.take(filling), filling))
-    best_n = sum(t for t, _ in best)
-    budget = params.nodes
-    open_nodes: list[tuple[Stock, int, int, list]] = [(Stock(counts), 0, 0, [])]  # stock, sequences, waste, path (linked)
-    while open_nodes and best_n > least and budget > 0:
-        stock, n, waste, path = open_nodes.pop()
-        while stock.lengths and budget > 0:
-            if waste > (best_n - 1) * capacity - volume:
-                break  # no better solution has so much waste
-            budget -= 1
-            choices = fillings(stock, capacity, params.branches)
-            for w, filling in reversed(choices[1:]):
-                other = stock.copy()
-                t = other.take(filling)
-                open_nodes.append((other, n + t, waste + w * t, [path, (t, filling)]))
-            del open_nodes[:-400]  # the newest alternatives; older ones lie further from the incumbent's end
-            w, filling = choices[0]
-            t = stock.take(filling)
-            n, waste, path = n + t, waste + w * t, [path, (t, filling)]
-        else:
-            if not stock.lengths and n < best_n:
-                best_n, best = n, []
-                while path:
-                    path, step = path
-                    best.append(step)
-                best.reverse()
-    return best
-
-
-def places(planned: list[tuple[int, Filling]]) -> np.ndarray:
+    least, total, rng = lower_bound(counts, capacity), Work(params.work), random.Random(0)
+    best = best_fit_decreasing(counts, capacity)
+    if sequences(best) > least:
+        other = least_waste(counts, capacity, total)
+        if other and sequences(other) < sequences(best):
+            best = other
+    n = sequences(best)
+    if n > least:
+        part = Work(total.left // 4)
+        total.left -= part.left
+        best = branch_and_bound(counts, capacity, n - 1, part) or best
+        total.left += part.left
+    bins: Counter[Filling] = Counter()
+    for times, filling in best:
+        bins[filling] += times
+    n = bins.total()
+    while n > least and total.left > 0:
+        ordered = sorted(bins, key=lambda f: (-_waste(f, capacity), f))
+        total.left -= len(ordered)
+        size, chosen, spare = rng.randint(3, 24), Counter(), 0
+        while chosen.total() < size or spare < capacity:  # wasteful ones are likelier
+            if chosen.total() >= n:
+                break
+            filling = ordered[int(len(ordered) * rng.random() ** (4 if spare < capacity else 2))]
+            if chosen[filling] < bins[filling]:
+                chosen[filling] += 1
+                spare += _waste(filling, capacity)
+            total.left -= 1
+        old = [(k, f) for f, k in chosen.items()]
+        own, size = _counts_of(old), sequences(old)
+        part = Work(min(total.left, params.part))
+        total.left -= part.left
+        new = branch_and_bound(own, capacity, size - 1, part) if spare >= capacity else None
+        total.left += max(part.left, 0)
+        if new is None:
+            part = Work(max(total.left, 0))
+            new = least_waste(own, capacity, part, lambda: rng.random() < 0.3)
+            total.left = part.left
+            square = lambda p: sum(t * (capacity - _waste(f, capacity)) ** 2 for t, f in p)
+            if new is None or sequences(new) > size or (sequences(new) == size and square(new) < square(old)):
+                continue
+        bins -= chosen
+        for times, filling in new:
+            bins[filling] += times
+        n = bins.total()
+    return [(times, filling) for filling, times in sorted(bins.items(), reverse=True)]
+
+
+def places(planned: Plan) -> np.ndarray:
     """Rows length, first rank, times, per sequence, first sequence, offset: where the pieces of a length go, by rank."""
     rows, ranks, sequence = [], {}, 0
     for times, filling in planned:
@@ -315,7 +451,10 @@ def pack(docs: DataFrame, params: PackParams = PackParams(), id_col: str = "doc_
     pieces = cut(tokenised_pieces(docs, params, id_col, text_col))  # small rows; texts are tokenised once
     # the histogram has at most `capacity` rows
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    spots = places(plan(counts, params))
+    planned = plan(counts, params)
+    if counts:
+        LOG.info("%d sequences, at least %d are needed", sequences(planned), lower_bound(counts, params.capacity))
+    spots = places(planned)
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sum(counts.values()) // params.per_bucket))
     keyed = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
     own = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
