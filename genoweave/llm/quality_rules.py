@@ -2,9 +2,11 @@
 
 Every document gets exact base counts. Mergeable quantile sketches (percentile_approx) of four ratios, kept for each
 language and source, for each language, and for all documents, give the fences; a document is kept if its ratios lie
-within the fences of its own group. A fence lies beyond a quantile in the tail of the group, by a multiple of what parts
-that quantile from the median, and never inside the same quantile of the group's language. No ratio has a fixed cutoff:
-beyond the base rule all that is fixed are shares of documents.
+within the fences of its own group. A group's quantiles are means of its own and its language's, and those of its language's
+and the corpus', weighted by their documents against a prior weight, so a group moves from its language's quantiles to its
+own as it grows, without a switch. A fence lies beyond a quantile in the group's tail, by a multiple of what parts that
+quantile from the median, and never inside the same quantile of the language. Shares are measured by -log(1 - share), so a
+fence stays below one. No ratio has a fixed cutoff: beyond the base rule all that is fixed are shares of documents.
 """
 
 from __future__ import annotations
@@ -19,6 +21,9 @@ from genoweave.llm.common import BLANKS, cut, join_groups, let, words
 #: Ratio -> the share of a group's documents that lie below its tail.
 TAILS = {"symbol_ratio": 0.95, "dup_line_ratio": 0.99, "repeat_ratio": 0.99, "mean_word": 0.95}
 SPREAD = 1.5
+PRIOR = 100
+SHARES = ("dup_line_ratio", "repeat_ratio")  # at most one
+SLACK = 1e-9  # relative, for the rounding of means
 
 
 @dataclass(frozen=True)
@@ -26,7 +31,7 @@ class QualityParams:
     tails: dict[str, float] = field(default_factory=lambda: dict(TAILS))
     spread: float = SPREAD  # fences lie so many times the way from the median to the tail beyond the tail
     accuracy: int = 10_000  # of the sketches
-    min_group: int = 100  # smaller groups of language and source use their language's fences, then the corpus'
+    prior: float = PRIOR  # documents that the language's quantiles weigh in a group's, the corpus' in a language's
     max_broadcast_groups: int = 5_000  # above it the thresholds are joined by a salted shuffle
     salts: int = 64
 
@@ -88,30 +93,37 @@ def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def _beyond(tail: Column, median: Column, spread: float, share: bool) -> Column:
+    """The fence above a tail."""
+    if not share:
+        return tail + spread * (tail - median)
+    rest = F.lit(1.0) - tail
+    return F.greatest(tail, F.lit(1.0) - rest * F.pow(rest / F.greatest(F.lit(1.0) - median, F.lit(1e-12)), F.lit(spread)))
+
+
 def fences(stats: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """lang, source, limits (n, each ratio's high, mean_word_low) of every group; from the sketches of documents that pass
-    the base rule. Groups of fewer than min_group such documents have the limits of their language or, if that has as
-    few, of all documents."""
+    the base rule. A group without such documents has its language's quantiles; if none passes at all, limits are null."""
     grouped = stats.filter(~F.col("base_failed")).select(F.struct("lang", "source").alias("own"), F.struct(F.col("lang")).alias("lang"), *params.tails)
     sketch = [F.percentile_approx(m, F.array(*map(F.lit, (round(1 - q, 9), 0.5, q))), params.accuracy).alias(m) for m, q in params.tails.items()]
 
     def of(frame: DataFrame, name: str, *keys: str) -> DataFrame:
-        high = [(F.col(m)[2] + params.spread * (F.col(m)[2] - F.col(m)[1])).alias(f"{m}_high") for m in params.tails]
-        low = (F.col("mean_word")[0] - params.spread * (F.col("mean_word")[1] - F.col("mean_word")[0])).alias("mean_word_low")
-        tails = [*(F.col(m)[2].alias(f"{m}_high") for m in params.tails), F.col("mean_word")[0].alias("mean_word_low")]
-        return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sketch).select(*keys, F.struct("n", *high, low).alias(name), F.struct(*tails).alias(f"{name}_tails"))
+        return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sketch).select(*keys, F.struct("n", *params.tails).alias(name))
 
-    own, lang, corpus = of(grouped, "limits_own", "own"), of(grouped, "limits_lang", "lang"), of(grouped, "limits")
+    own, lang, corpus = of(grouped, "at_own", "own"), of(grouped, "at_lang", "lang"), of(grouped, "at_all")
     groups = stats.select("lang", "source").distinct().select("lang", "source", F.struct("lang", "source").alias("own"), F.struct(F.col("lang")).alias("by"))
     joined = groups.join(own, groups["own"].eqNullSafe(own["own"]), "left").join(lang.withColumnRenamed("lang", "l"), F.col("by").eqNullSafe(F.col("l")), "left").join(F.broadcast(corpus), F.lit(True), "left")
 
-    def within(name: str, floor: str) -> Column:
-        """The limits, nowhere inside the tails of the floor."""
-        high = [F.greatest(F.col(name)[f"{m}_high"], F.col(floor)[f"{m}_high"]).alias(f"{m}_high") for m in params.tails]
-        return F.when(F.col(name)["n"] >= params.min_group, F.struct(F.col(name)["n"].alias("n"), *high, F.least(F.col(name)["mean_word_low"], F.col(floor)["mean_word_low"]).alias("mean_word_low")))
+    def shrunk(level: str, m: str, k: int, towards: Column) -> Column:
+        n = F.coalesce(F.col(level)["n"], F.lit(0))
+        return (n * F.coalesce(F.col(level)[m][k], F.lit(0.0)) + params.prior * towards) / (n + F.lit(float(params.prior)))
 
-    limits = F.coalesce(within("limits_own", "limits_lang_tails"), within("limits_lang", "limits_tails"), F.col("limits"))
-    return joined.select(groups["lang"], groups["source"], limits.alias("limits"))
+    by_lang = {(m, k): shrunk("at_lang", m, k, F.col("at_all")[m][k]) for m in params.tails for k in range(3)}
+    by_own = {(m, k): shrunk("at_own", m, k, q) for (m, k), q in by_lang.items()}
+    high = {m: F.greatest(_beyond(by_own[m, 2], by_own[m, 1], params.spread, m in SHARES), by_lang[m, 2]) for m in params.tails}
+    low = F.least(_beyond(by_own["mean_word", 0], by_own["mean_word", 1], params.spread, False), by_lang["mean_word", 0])
+    limits = F.struct(F.coalesce(F.col("at_own")["n"], F.lit(0)).alias("n"), *((x * (1 + SLACK)).alias(f"{m}_high") for m, x in high.items()), (low * (1 - SLACK)).alias("mean_word_low"))
+    return joined.select(groups["lang"], groups["source"], F.when(F.col("at_all")["n"] > 0, limits).alias("limits"))
 
 
 def quality_rules(docs: DataFrame, params: QualityParams = QualityParams(), **columns: str) -> DataFrame:

@@ -15,7 +15,7 @@ from genoweave.llm.merkle import with_next_edit
 from genoweave.llm.mixing import mix_sources
 from genoweave.llm.packing import pack
 from genoweave.llm.personal_data import find_personal_data, report
-from genoweave.llm.quality_rules import SPREAD, TAILS, quality_rules
+from genoweave.llm.quality_rules import PRIOR, SHARES, SLACK, SPREAD, TAILS, quality_rules
 from genoweave.llm.quotations import link_quotes
 from genoweave.llm.simhash import simhash_components
 from genoweave.llm.structure_repair import damaged, repair_report, turns
@@ -89,13 +89,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _Q = "quantile_disc({}, {})".format
-_TAIL = ", ".join(f"{_Q(m, q)} AS {m}_tail" for m, q in TAILS.items()) + f", {_Q('mean_word', round(1 - TAILS['mean_word'], 9))} AS mean_word_foot"
-_LIMIT = (
-    _TAIL + ", " + ", ".join(f"{_Q(m, q)} + {SPREAD} * ({_Q(m, q)} - {_Q(m, 0.5)}) AS {m}_high" for m, q in TAILS.items())
-    + ", {0} - {1} * ({2} - {0}) AS mean_word_low, count(*) AS n".format(_Q("mean_word", round(1 - TAILS["mean_word"], 9)), SPREAD, _Q("mean_word", 0.5))
-)
-_PICK = ", ".join(f"CASE WHEN o.n >= 100 THEN greatest(o.{m}_high, g.{m}_tail) WHEN g.n >= 100 THEN greatest(g.{m}_high, a.{m}_tail) ELSE a.{m}_high END AS {m}_high" for m in TAILS)
-_PICK += ", CASE WHEN o.n >= 100 THEN least(o.mean_word_low, g.mean_word_foot) WHEN g.n >= 100 THEN least(g.mean_word_low, a.mean_word_foot) ELSE a.mean_word_low END AS mean_word_low"
+_SPOTS = {f"{m}_{name}": (m, at) for m, q in TAILS.items() for name, at in (("foot", round(1 - q, 9)), ("mid", 0.5), ("tail", q))}
+_SKETCH = "count(*) AS n, " + ", ".join(f"{_Q(m, at)} AS {spot}" for spot, (m, at) in _SPOTS.items())
+
+
+def _shrunk(level: str, towards: str) -> str:
+    """Quantiles of a level, drawn to those of the one above."""
+    n = f"coalesce({level}.n, 0)"
+    return ", ".join(f"({n} * coalesce({level}.{spot}, 0) + {PRIOR} * {towards}.{spot}) / ({n} + {PRIOR}.0::DOUBLE) AS {spot}" for spot in _SPOTS)
+
+
+def _high(m: str) -> str:
+    fence = f"o.{m}_tail + {SPREAD} * (o.{m}_tail - o.{m}_mid)"
+    if m in SHARES:
+        fence = f"o.{m}_tail, 1 - (1 - o.{m}_tail) * pow((1 - o.{m}_tail) / greatest(1 - o.{m}_mid, 1e-12), {SPREAD})"
+    return f"greatest({fence}, g.{m}_tail) * (1 + {SLACK}) AS {m}_high"
+
+
+_LOW = f"least(o.mean_word_foot + {SPREAD} * (o.mean_word_foot - o.mean_word_mid), g.mean_word_foot) * (1 - {SLACK}) AS mean_word_low"
 
 OP3_SQL = rf"""
 WITH base AS (
@@ -112,13 +123,18 @@ stats AS (
   SELECT *, n_symbols / greatest(n_words, 1)::DOUBLE AS symbol_ratio, n_dup_lines / greatest(n_lines, 1)::DOUBLE AS dup_line_ratio,
          n_repeat_words / greatest(n_words, 1)::DOUBLE AS repeat_ratio, word_chars / greatest(n_words, 1)::DOUBLE AS mean_word,
          (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM counted),
-own AS (SELECT lang, source, {_LIMIT} FROM stats WHERE NOT base_failed GROUP BY lang, source),
-by_lang AS (SELECT lang, {_LIMIT} FROM stats WHERE NOT base_failed GROUP BY lang),
-every AS (SELECT {_LIMIT} FROM stats WHERE NOT base_failed),
-lim AS (
-  SELECT d.lang, d.source, {_PICK} FROM (SELECT DISTINCT lang, source FROM stats) d
-  LEFT JOIN own o ON o.lang IS NOT DISTINCT FROM d.lang AND o.source IS NOT DISTINCT FROM d.source
-  LEFT JOIN by_lang g ON g.lang IS NOT DISTINCT FROM d.lang CROSS JOIN every a)
+own AS (SELECT lang, source, {_SKETCH} FROM stats WHERE NOT base_failed GROUP BY lang, source),
+by_lang AS (SELECT lang, {_SKETCH} FROM stats WHERE NOT base_failed GROUP BY lang),
+every AS (SELECT {_SKETCH} FROM stats WHERE NOT base_failed),
+grp AS (SELECT DISTINCT lang, source FROM stats),
+lang_q AS (
+  SELECT d.lang, {_shrunk("x", "a")} FROM (SELECT DISTINCT lang FROM stats) d
+  LEFT JOIN by_lang x ON x.lang IS NOT DISTINCT FROM d.lang CROSS JOIN every a),
+own_q AS (
+  SELECT d.lang, d.source, {_shrunk("x", "g")} FROM grp d
+  LEFT JOIN own x ON x.lang IS NOT DISTINCT FROM d.lang AND x.source IS NOT DISTINCT FROM d.source
+  JOIN lang_q g ON g.lang IS NOT DISTINCT FROM d.lang),
+lim AS (SELECT o.lang, o.source, {", ".join(map(_high, TAILS))}, {_LOW} FROM own_q o JOIN lang_q g ON g.lang IS NOT DISTINCT FROM o.lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce({" AND ".join(f"{m} <= {m}_high" for m in TAILS)} AND mean_word >= mean_word_low, true) AS kept
 FROM stats s JOIN lim ON s.lang IS NOT DISTINCT FROM lim.lang AND s.source IS NOT DISTINCT FROM lim.source

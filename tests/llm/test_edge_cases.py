@@ -212,29 +212,88 @@ def test_base_counts(odd_docs):
         assert not (r["base_failed"] and r["kept"])
 
 
+def brute_fences(rows, params):
+    """Fences of every group, from whole sorted columns; rows are the operator's, by their ratios."""
+    passed = [r for r in rows if not r["base_failed"]]
+
+    def level(rs):
+        def at(m, q):
+            x = sorted(r[m] for r in rs)
+            return x[max(1, math.ceil(round(q * len(x), 6))) - 1] if x else 0.0
+
+        return len(rs), {(m, k): at(m, q) for m, t in params.tails.items() for k, q in enumerate((1 - t, 0.5, t))}
+
+    shrunk = lambda own, above: {k: (own[0] * v + params.prior * above[k]) / (own[0] + params.prior) for k, v in own[1].items()}
+    _, corpus = level(passed)
+    out = {}
+    for lang, source in {(r["lang"], r["source"]) for r in rows}:
+        by_lang = shrunk(level([r for r in passed if r["lang"] == lang]), corpus)
+        own = shrunk(level([r for r in passed if (r["lang"], r["source"]) == (lang, source)]), by_lang)
+        fence = {}
+        for m in params.tails:
+            tail, mid = own[m, 2], own[m, 1]
+            beyond = 1 - (1 - tail) * ((1 - tail) / max(1 - mid, 1e-12)) ** params.spread if m in quality_rules.SHARES else tail + params.spread * (tail - mid)
+            fence[f"{m}_high"] = max(tail, beyond, by_lang[m, 2])
+        fence["mean_word_low"] = min(own["mean_word", 0] + params.spread * (own["mean_word", 0] - own["mean_word", 1]), by_lang["mean_word", 0])
+        out[lang, source] = fence
+    return out
+
+
+def check_fences(out, params):
+    expected = brute_fences(out, params)
+    for r in out:
+        want = expected[r["lang"], r["source"]]
+        assert {k: v for k, v in r["limits"].asDict().items() if k != "n"} == pytest.approx(want)
+        within = all(r[m] <= want[f"{m}_high"] * (1 + 1e-9) for m in params.tails) and r["mean_word"] >= want["mean_word_low"] * (1 - 1e-9)
+        assert r["kept"] == (within and not r["base_failed"])
+
+
 def test_thresholds_follow_the_source(spark):
-    """Each source has its own fences, though no quartile of it differs from 0; small ones have their language's."""
+    """Sources have fences of their own, small ones nearer to their language's."""
     marked = lambda i, every, mark: " ".join(w + (mark if k % every == 0 else "") for k, w in enumerate(sentence(i, 80).split()))
     prose = [(i, sentence(i, 80) if i % 10 else marked(i, 40, "#"), "en", "prose") for i in range(120)]
     code = [(200 + i, marked(i, 3, "#") if i % 10 == 0 else sentence(i, 80), "en", "code") for i in range(120)]
     few = [(400 + i, marked(i, 20, "#"), "en", "few") for i in range(20)]
-    odd = [(500, marked(99, 2, "##"), "en", "prose"), (501, marked(98, 2, "#"), "en", "code"), (502, marked(97, 1, "####"), "en", "code")]
-    d = spark.createDataFrame(prose + code + few + odd, "doc_id long, text string, lang string, source string")
-    params = quality_rules.QualityParams(tails=quality_rules.TAILS | {"mean_word": 0.99}, spread=1.0)
+    other = [(600 + i, sentence(i, 60), None, "few") for i in range(5)] + [(700, "short", "de", None)]
+    odd = [(500, marked(99, 1, "####"), "en", "prose"), (502, marked(97, 1, "####"), "en", "code")]
+    d = spark.createDataFrame(prose + code + few + other + odd, "doc_id long, text string, lang string, source string")
+    params = quality_rules.QualityParams(tails=quality_rules.TAILS | {"mean_word": 0.99})
     out = quality_rules.quality_rules(d, params).collect()
-    high = {r["source"]: r["limits"]["symbol_ratio_high"] for r in out}
-    assert high["prose"] < high["code"] and sorted(r["doc_id"] for r in out if not r["kept"]) == [500, 502]
-    by_hand = {}
-    for source in ("prose", "code"):
-        x = sorted(r["symbol_ratio"] for r in out if r["source"] == source and not r["base_failed"])
-        by_hand[source] = 2 * x[math.ceil(0.95 * len(x)) - 1] - x[math.ceil(0.5 * len(x)) - 1]
-    every = sorted(r["symbol_ratio"] for r in out if not r["base_failed"])
-    floor = every[math.ceil(0.95 * len(every)) - 1]
-    assert high == {s: max(x, floor) for s, x in by_hand.items()} | {"few": 2 * floor - every[math.ceil(0.5 * len(every)) - 1]}
-    salted = quality_rules.quality_rules(d, quality_rules.QualityParams(tails=params.tails, spread=1.0, max_broadcast_groups=0))
+    high = {r["source"]: r["limits"]["symbol_ratio_high"] for r in out if r["lang"] == "en"}
+    assert high["prose"] < high["code"] and len(set(high.values())) == 3
+    assert {500, 502} <= {r["doc_id"] for r in out if not r["kept"]}
+    check_fences(out, params)
+    salted = quality_rules.quality_rules(d, quality_rules.QualityParams(tails=params.tails, max_broadcast_groups=0))
     assert {r["doc_id"]: r["kept"] for r in salted.collect()} == {r["doc_id"]: r["kept"] for r in out}
 
 
+def test_each_ratio_has_a_fence_that_fires(spark):
+    clean = [(i, "\n".join(sentence(1_000 * i + k, 20) for k in range(6)), "en", "a" if i % 3 else "b") for i in range(300)]
+    plain = [sentence(10**6 + k, 20) for k in range(6)]
+    planted = {
+        900: "\n".join(x.replace(" ", " ## ") for x in plain),  # symbols
+        901: "\n".join([*plain, "one two", "one two", "one two"]),  # repeated lines
+        902: "\n".join(plain) + " " + " ".join([*plain[0].split()] * 2),  # repeated words
+        903: " ".join("x" * 40 for _ in range(3)) + " " + " ".join(f"{w}{w}{w}{w}" for w in " ".join(plain).split()),  # long words
+        904: " ".join(chr(97 + k % 26) + chr(97 + k // 26) for k in range(120)),  # short words
+    }
+    d = spark.createDataFrame(clean + [(k, t, "en", "a") for k, t in planted.items()], "doc_id long, text string, lang string, source string")
+    out = quality_rules.quality_rules(d).collect()
+    assert set(planted) <= {r["doc_id"] for r in out if not r["kept"]}
+    assert sum(not r["kept"] for r in out) <= len(planted) + 6 and not any(r["base_failed"] for r in out)
+    check_fences(out, quality_rules.QualityParams())
+
+
+def test_fences_move_on_with_the_group(spark):
+    """Groups of other documents have other fences, however small, and every share's fence is one that a document can exceed."""
+    out = quality_rules.quality_rules(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()
+    check_fences(out, quality_rules.QualityParams())
+    limits = {(r["lang"], r["source"]): r["limits"] for r in out}
+    ratios = {g: (g[0], *sorted(tuple(r[m] for m in quality_rules.TAILS) for r in out if (r["lang"], r["source"]) == g and not r["base_failed"])) for g in limits}
+    assert len({tuple(x) for x in limits.values()}) == len(set(ratios.values()))
+    assert all(x[f"{m}_high"] < 1 for x in limits.values() for m in quality_rules.SHARES)
+
+
 def test_repeated_words_by_whole_hashes(spark):
     r = random.Random(3)
     texts = [" ".join(r.choice("abc") for _ in range(n)) for n in (0, 1, 2, 3, 4, 9, 30, 200)] + ["x " * 50, " ".join(f"w{i}" for i in range(500)) + " w1 w2 w3 w7 w8"]
