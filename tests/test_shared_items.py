@@ -24,6 +24,28 @@ def test_shared_items_match_brute_force(spark, lots, width, wide):
     assert all(h["g_q"] == h["q"] % 3 and h["g_s"] == h["s"] % 3 for h in found)
 
 
+@pytest.mark.parametrize(("lots", "width", "wide"), [(1, 64, 1 << 17), (5, 7, 16), (3, 4, 4), (40, 2, 1 << 17)])
+def test_hits_by_pair_are_the_same_hits(spark, lots, width, wide):
+    r = random.Random(lots)
+    held = [(r.randrange(60), r.randrange(12), float(r.randrange(1, 50))) for _ in range(250)] + [(-3, 0, 4.0), (10_000, 0, 7.0), (10_000, 0, 2.0)]  # some gene and item twice
+    rows = spark.createDataFrame([(g, i, x, g % 3) for g, i, x in held], "gene long, item long, x double, g int")
+    one = [h.asDict() for h in hits.shared_item_hits(rows, lots, width, wide).drop("lot").collect()]
+    two = [h.asDict() for h in hits.shared_item_hits_by_pair(rows, lots, width, wide).collect()]
+    lot_of = defaultdict(set)
+    for h in two:
+        lot_of[min(h["q"], h["s"]), max(h["q"], h["s"])].add(h.pop("pair_lot"))
+    key = lambda h: (h["q"], h["s"])
+    assert sorted(one, key=key) == sorted(two, key=key) and len({key(h) for h in two}) == len(two)
+    assert all(len(x) == 1 for x in lot_of.values())
+
+
+@pytest.mark.parametrize("name", ["agg_min_evalue_pair", "src_blast_parse", "flt_no_self_hit", "flt_evalue", "flt_cutoffs", "flt_genome_restrict", "src_m8_lines", "agg_hsp_identity"])
+def test_what_asks_nothing_of_a_query_takes_hits_by_pair(spark, sf_dir, name):
+    plan = catalogue.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("Generate explode(held")[0]
+    assert "Generate explode(array(" in above and "Exchange hashpartitioning" not in above and plan.count("Generate explode(held") == 1
+
+
 def test_lots_grow_with_the_genes():
     assert [hits.lots_of(m) for m in (None, 0, 14_999, 899_999)] == [(1, 64), (1, 64), (24, 625), (440, 2048)]
     assert hits.lots_of(10**12)[0] == 100_000
