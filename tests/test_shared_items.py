@@ -69,3 +69,30 @@ def test_edge_hits_are_those_of_the_prefixes(spark):
     assert pairs(h for h in found if h["best"]) == pairs(hits.best_prefix(ranked).collect())
     assert pairs(h for h in found if h["better"]) == pairs(hits.better_prefix(ranked).collect())
     assert any(h["best"] for h in found) and any(h["better"] for h in found)
+
+
+@pytest.mark.parametrize("name", ["src_bpo", "agg_top_ortho_score", "flt_no_self_hit", "flt_cutoffs", "flt_genome_restrict"])
+def test_a_task_keeps_no_table_of_its_pairs(spark, sf_dir, name):
+    plan = catalogue.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("Generate explode(held")[0]
+    assert "HashAggregate(keys=[lot" not in above and "HashAggregate(keys=[pair_lot" not in above and plan.count("Generate explode(held") == 1
+
+
+@pytest.mark.parametrize("by_pair", [False, True])
+def test_amounts_and_groups_of_any_kind(spark, by_pair):
+    r, far = random.Random(9), 1 << 61
+    amounts = [None, 0.5, 3.0, -2.0, 40_000.0, 1e300]
+    held = {(g, i): r.choice(amounts) for g in [*range(-40, 40, 3), far, -far, far + 1] for i in range(8) if r.random() < 0.5}
+    group = lambda g: None if g % 4 == 0 else f"R{g % 3}"
+    want = defaultdict(list)
+    for (q, i), x in held.items():
+        for (s, j), y in held.items():
+            if i == j and q != s:
+                want[q, s].append(min((v for v in (x, y) if v is not None), default=None))
+    rows = spark.createDataFrame([(g, i, x, group(g)) for (g, i), x in held.items()] + [(None, 1, 2.0, "R0"), (1, None, 2.0, "R1")], "gene long, item long, x double, g string")
+    found = (hits.shared_item_hits_by_pair if by_pair else hits.shared_item_hits)(rows, 5, 7, 16).collect()
+    assert len(found) == len(want) and {(h["q"], h["s"]) for h in found} == set(want)
+    for h in found:
+        known = [v for v in want[h["q"], h["s"]] if v is not None]
+        assert h["shared"] == (pytest.approx(sum(known)) if known else None)
+        assert h["g_q"] == group(h["q"]) and h["g_s"] == group(h["s"])
