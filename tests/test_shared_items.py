@@ -71,7 +71,7 @@ def test_edge_hits_are_those_of_the_prefixes(spark):
     assert any(h["best"] for h in found) and any(h["better"] for h in found)
 
 
-@pytest.mark.parametrize("name", ["src_bpo", "agg_top_ortho_score", "flt_no_self_hit", "flt_cutoffs", "flt_genome_restrict"])
+@pytest.mark.parametrize("name", ["src_bpo", "agg_top_ortho_score", "ddp_nonredundant", "flt_no_self_hit", "flt_cutoffs", "flt_genome_restrict"])
 def test_a_task_keeps_no_table_of_its_pairs(spark, sf_dir, name):
     plan = catalogue.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     above = plan.split("Generate explode(held")[0]
