@@ -96,3 +96,11 @@ def test_amounts_and_groups_of_any_kind(spark, by_pair):
         known = [v for v in want[h["q"], h["s"]] if v is not None]
         assert h["shared"] == (pytest.approx(sum(known)) if known else None)
         assert h["g_q"] == group(h["q"]) and h["g_s"] == group(h["s"])
+
+
+def test_only_the_wanted_genomes_genes_are_paired(spark, sf_dir):
+    found = catalogue.queries()["flt_genome_restrict"](spark, sf_dir)
+    assert found.columns == ["q", "s", "bit", "genome_q", "genome_s"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Generate explode(held")[0], plan.split("Generate explode(held")[1]
+    assert "LeftSemi" in below and "LeftSemi" not in above
