@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import pytest
 
+from genoweave.lineage import cut
 from genoweave.operators import hits
 from genoweave.plans import catalogue
 
@@ -104,3 +105,10 @@ def test_only_the_wanted_genomes_genes_are_paired(spark, sf_dir):
     plan = found._jdf.queryExecution().executedPlan().toString()
     above, below = plan.split("Generate explode(held")[0], plan.split("Generate explode(held")[1]
     assert "LeftSemi" in below and "LeftSemi" not in above
+
+
+def test_a_lookup_of_best_hits_makes_hits_once(spark, sf_dir, monkeypatch):
+    done = []
+    monkeypatch.setattr("genoweave.plans.queries.cut", lambda d: done.append(d) or cut(d))
+    plan = catalogue.queries()["jn_hit_lookup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not done and plan.count("Generate explode(held") == 1
