@@ -112,3 +112,10 @@ def test_a_lookup_of_best_hits_makes_hits_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr("genoweave.plans.queries.cut", lambda d: done.append(d) or cut(d))
     plan = catalogue.queries()["jn_hit_lookup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not done and plan.count("Generate explode(held") == 1
+
+
+def test_edges_of_hits_alone_need_one_pass(spark, sf_dir, monkeypatch):
+    passes = []
+    monkeypatch.setattr("genoweave.plans.analyses.hits.coorthologs", lambda *a, **b: passes.append(a))
+    for name in ("jn_recip_better", "agg_norm_inpara"):
+        assert catalogue.queries()[name](spark, sf_dir).count() and not passes
