@@ -106,12 +106,22 @@ def test_only_the_wanted_genomes_genes_are_paired(spark, sf_dir):
     above, below = plan.split("Generate explode(held")[0], plan.split("Generate explode(held")[1]
     assert "LeftSemi" in below and "LeftSemi" not in above
 
-
-def test_a_lookup_of_best_hits_makes_hits_once(spark, sf_dir, monkeypatch):
-    done = []
-    monkeypatch.setattr("genoweave.plans.queries.cut", lambda d: done.append(d) or cut(d))
-    plan = catalogue.queries()["jn_hit_lookup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert not done and plan.count("Generate explode(held") == 1
+@pytest.mark.parametrize("name", ["jn_coortholog", "jn_inparalog_rbh", "flt_orthologous", "jn_code_lookup"])
+def test_hits_are_held_against_tables_where_they_lie(spark, sf_dir, name, monkeypatch):
+    """However many genes there are: nothing is broadcast but rows of genomes, and between the hits and what holds them is no exchange."""
+    monkeypatch.setattr(hits, "light", lambda rows, most=0: rows)
+    plans = []
+    monkeypatch.setattr("genoweave.plans.analyses.cut", lambda d: plans.append(d) or cut(d))
+    monkeypatch.setattr(hits, "cut", cut)
+    found = catalogue.queries()[name](spark, sf_dir)
+    seen = [p for p in (d._jdf.queryExecution().executedPlan().toString() for d in [*plans, found]) if "Generate explode(held" in p]
+    if name == "jn_code_lookup":
+        assert all(f"code_{x}" in seen[-1] for x in "qs") and "Exchange hashpartitioning(q" not in seen[-1] and "Exchange hashpartitioning(s" not in seen[-1]
+        return
+    held = [line for line in seen[-1].split("Generate explode(held")[0].splitlines()]
+    join = max(i for i, line in enumerate(held) if "ShuffledHashJoin [lot" in line)
+    depth = held[join].index("ShuffledHashJoin")
+    assert not any("Exchange" in line for line in held[join:] if line.find("Exchange") > depth)
 
 
 def test_edges_of_hits_alone_need_one_pass(spark, sf_dir, monkeypatch):
@@ -119,3 +129,10 @@ def test_edges_of_hits_alone_need_one_pass(spark, sf_dir, monkeypatch):
     monkeypatch.setattr("genoweave.plans.analyses.hits.coorthologs", lambda *a, **b: passes.append(a))
     for name in ("jn_recip_better", "agg_norm_inpara"):
         assert catalogue.queries()[name](spark, sf_dir).count() and not passes
+
+
+def test_a_lookup_of_best_hits_makes_hits_once(spark, sf_dir, monkeypatch):
+    done = []
+    monkeypatch.setattr("genoweave.plans.queries.cut", lambda d: done.append(d) or cut(d))
+    plan = catalogue.queries()["jn_hit_lookup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not done and plan.count("Generate explode(held") == 1
