@@ -86,3 +86,14 @@ def test_coorthologs_are_those_of_the_squared_closure(spark):
     edges = lambda chosen: two.filter(F.concat_ws("-", "a", "b").isin([f"{a}-{b}" for a, b in chosen]))
     got = {(x["a"], x["b"]): x["weight_sum"] for x in hits.coorthologs(edges(ortho), edges(inpara), h).collect()}
     assert got == {e: w for e, w in mutual.items() if e in want and genome[e[0]] != genome[e[1]]} and got
+
+
+def test_coverage_of_rows_that_lie_together_is_the_same_without_a_table_of_keys(spark):
+    r = random.Random(6)
+    rows = [(q % 2, q, r.randrange(3), a, a + r.randrange(-30, 60)) for q in range(12) for _ in range(40) for a in [r.randrange(-200, 200)]]
+    d = spark.createDataFrame([*rows, *rows[:50]], "lot int, q long, s long, st long, en long")
+    plain = hits.interval_coverage(d.drop("lot"), ["q", "s"], "st", "en", 64)
+    dealt = hits.interval_coverage(d.repartitionById(2, "lot"), ["lot", "q", "s"], "st", "en", 64)
+    assert sorted(map(tuple, dealt.drop("lot").collect())) == sorted(map(tuple, plain.collect()))
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and plan.count("Sort [lot") == 1
