@@ -52,6 +52,10 @@ def test_lots_grow_with_the_genes():
     assert hits.lots_of(10**12)[0] == 100_000
 
 
+def test_full_lots_are_halved_for_pairs():
+    assert [hits.pair_lots_of(hits.lots_of(m)) for m in (14_999, 899_999)] == [(24, 625), (880, 1024)]
+
+
 @pytest.mark.parametrize("name", ["agg_best_hit", "agg_interval_coverage", "agg_hsp_identity", "src_blast_parse", "ddp_hit_pairs", "jn_hit_lookup", "src_bpo", "snk_bpo_gg", "win_tie_runs", "flt_cutoffs", "flt_genome_restrict"])
 def test_pairs_are_not_shuffled(spark, sf_dir, name):
     plan = catalogue.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
